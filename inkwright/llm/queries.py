@@ -9,6 +9,27 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op2_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+    from inkwright.llm.packing import pack
+
+    return pack(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"), size=2048, end_id=0)
+
+
+def op3_token_id_orc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+    from inkwright.llm.tokens import orc_digests
+
+    return orc_digests(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"), end_id=2)
+
+
+def op4_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+    from inkwright.llm.tokens import bpe_digests
+
+    return bpe_digests(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
+
+
 def op8_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     from inkwright.llm.jaccard import jaccard_components
 
