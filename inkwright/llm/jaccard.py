@@ -6,8 +6,8 @@
    the l-prefix is the first n - a + l in that order. Two sets that reach t share l shingles of
    their l-prefixes, for every l up to a: each document takes the l of least estimated cost (rows of
    postings read plus pairs left to verify) and its pairs need l common prefix shingles.
-3. Members of a posting list are first verified against its most central member. What that joins
-   needs no further pair: only pairs of different components are generated from the lists after it.
+3. Members of a posting list are first verified against its most central member, if they share a
+   quarter of their prefix with it through such lists. What that joins needs no further pair: only pairs of different components are generated from the lists after it.
    So the links found join the same documents as all links would, while a group of m near copies
    costs m pairs a list and not m * m.
 4. Pairs are verified by the exact overlap of their whole shingle sets.
@@ -31,9 +31,9 @@ from inkwright.llm.words import text_shingles
 #: Shingles whose counts order the prefixes: the most common ones, in at most this many entries.
 COMMON = 500_000
 #: Greatest number of common prefix shingles that a pair may be asked for.
-LEVELS = 4
-#: Cost of verifying a pair, in rows of postings read.
-VERIFY_COST = 20.0
+LEVELS = 6
+#: Cost of verifying a pair, in rows of postings read; partners that a shingle which isn't common is taken to bring.
+VERIFY_COST, RARE_PARTNERS = 20.0, 0.2
 #: Pairs of one centre in a task.
 GROUP = 1000
 #: Candidate documents up to which their ids are broadcast (16 MB); beyond it the join shuffles.
@@ -96,10 +96,9 @@ def _prefix(s: np.ndarray, common, num: int, den: int) -> tuple[np.ndarray, int,
     size = n - need + top
     tokens = np.concatenate([light[:size], heavy[: max(0, size - len(light))]])
     cost, level = None, 1
-    base = min(len(light), n - need)
     for l in range(1, top + 1):
         at = n - need + l
-        rows = float(seen[: max(0, at - len(light))].sum()) + min(len(light), at) - base
+        rows = float(seen[: max(0, at - len(light))].sum()) + RARE_PARTNERS * min(len(light), at)
         here = rows + VERIFY_COST * (rows / l)
         if cost is None or here < cost:
             cost, level = here, l
@@ -220,7 +219,7 @@ def jaccard_components(docs: DataFrame, k: int = 5, num: int = 80, den: int = 10
     common = spark.sparkContext.broadcast(common_shingles(docs.select("text"), k))
     schema = "doc_id long, n long, hi long, lo long, meta long, tokens array<long>"
     sets = written(docs.mapInArrow(_sets(k, num, den, common), schema), "sets")
-    nodes = (
+    nodes = (  # the tokens of equal sets are equal
         sets.where("n > 0 and doc_id is not null")
         .groupBy("hi", "lo")
         .agg(F.min("doc_id").alias("id"), F.any_value("meta").alias("meta"), F.any_value("tokens").alias("tokens"))
@@ -236,19 +235,29 @@ def jaccard_components(docs: DataFrame, k: int = 5, num: int = 80, den: int = 10
     posts = posts.withColumn("m", F.count("*").over(by_tok)).where("m > 1")
     posts = written(posts.select("tok", "id", "meta", F.col("c.id").alias("c"), F.col("c.n").alias("cn")), "posts")
 
-    ids = written(posts.select("id").distinct(), "ids")
-    ids = F.broadcast(ids) if ids.count() <= BROADCAST_IDS else ids.hint("shuffle_hash")
-    same = docs.where("doc_id is not null").withColumnRenamed("doc_id", "id").join(ids, "id", "left_semi")
-    arrays = written(same.mapInArrow(_arrays(k), "id long, shingles array<long>"), "arrays")
+    def verified(pairs: DataFrame) -> DataFrame:
+        pairs = written(pairs, "pairs")
+        ids = written(pairs.select(F.col("a").alias("id")).union(pairs.select("b")).distinct(), "ids")
+        ids = F.broadcast(ids) if ids.count() <= BROADCAST_IDS else ids.hint("shuffle_hash")
+        same = docs.where("doc_id is not null").withColumnRenamed("doc_id", "id").join(ids, "id", "left_semi")
+        return written(verify_pairs(pairs, same.mapInArrow(_arrays(k), "id long, shingles array<long>"), num, den), "links")
 
-    stars = posts.where("id <> c").where(_ratio(size(F.col("meta")), F.col("cn"), num, den)).select(F.col("id").alias("a"), F.col("c").alias("b")).distinct()
-    linked = written(verify_pairs(stars, arrays, num, den), "links")
+    wants = F.shiftright("ma", 4).bitwiseAND(F.lit(15))
+    # most of a prefix is common with the centre; what this passes over is left to the pairs between components
+    stars = (
+        posts.where("id <> c")
+        .where(_ratio(size(F.col("meta")), F.col("cn"), num, den))
+        .groupBy(F.col("id").alias("a"), F.col("c").alias("b"))
+        .agg(F.count("*").alias("m"), F.max("meta").alias("meta"))
+        .where(F.col("m") * 4 > size(F.col("meta")) - need)
+        .select("a", "b")
+    )
+    linked = verified(stars)
     parts = connected_components(linked)
     posts = posts.join(parts.withColumnRenamed("node", "id"), "id", "left").select("tok", "id", "meta", F.coalesce("component", "id").alias("part"))
     posts = posts.withColumn("lo", F.min("part").over(by_tok)).withColumn("hi", F.max("part").over(by_tok)).where("lo <> hi")
     x = posts.select("tok", F.col("id").alias("a"), F.col("meta").alias("ma"), F.col("part").alias("pa"))
     y = posts.select("tok", F.col("id").alias("b"), F.col("meta").alias("mb"), F.col("part").alias("pb"))
-    wants = F.shiftright("ma", 4).bitwiseAND(F.lit(15))
     low = lambda c: F.col(c).bitwiseAND(F.lit(15))
     rest = (
         x.join(y, "tok")
@@ -259,7 +268,7 @@ def jaccard_components(docs: DataFrame, k: int = 5, num: int = 80, den: int = 10
         .where("m >= wants")
         .select("a", "b")
     )
-    linked = linked.unionByName(verify_pairs(rest, arrays, num, den))
+    linked = linked.unionByName(verified(rest))
     parts = connected_components(linked)
     node = nodes.select("hi", "lo", "id").join(parts.withColumnRenamed("node", "id"), "id", "left").select("hi", "lo", F.coalesce("component", "id").alias("part"))
     return sets.join(node, ["hi", "lo"], "left").select(
