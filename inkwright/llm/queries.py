@@ -30,12 +30,28 @@ def op4_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe_digests(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
 
 
+#: Rules of the url filter: host and path, and what they say.
+URL_RULES = [("net/", "block"), ("example.net/en/", "allow"), ("example.com/de/", "block"), ("org/fr/", "allow")]
+
+
+def op6_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from inkwright.llm.urls import filter_urls
+
+    return filter_urls(table(spark, sf_dir, "pages"), URL_RULES)
+
+
 def op8_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     from inkwright.llm.jaccard import jaccard_components
 
     return jaccard_components(table(spark, sf_dir, "documents"), k=3, num=90, den=100)
 
 
+def op9_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from inkwright.llm.secrets import secret_digests
+
+    return secret_digests(table(spark, sf_dir, "documents"))
+
+
 def queries() -> dict:
     return {name: f for name, f in globals().items() if name.startswith("op") and callable(f)}
 
