@@ -5,7 +5,8 @@
 2. Equal sets are one node. Of a set of n shingles whose partners share at least a = ceil(t * n),
    the l-prefix is the first n - a + l in that order. Two sets that reach t share l shingles of
    their l-prefixes, for every l up to a: each document takes the l of least estimated cost (rows of
-   postings read plus pairs left to verify) and its pairs need l common prefix shingles.
+   postings read plus pairs left to verify) and its pairs need l common prefix shingles, and as many
+   more as the pair's own overlap exceeds a.
 3. Members of a posting list are first verified against its most central member, if they share a
    quarter of their prefix with it through such lists. What that joins needs no further pair: only pairs of different components are generated from the lists after it.
    So the links found join the same documents as all links would, while a group of m near copies
@@ -258,14 +259,21 @@ def jaccard_components(docs: DataFrame, k: int = 5, num: int = 80, den: int = 10
     posts = posts.withColumn("lo", F.min("part").over(by_tok)).withColumn("hi", F.max("part").over(by_tok)).where("lo <> hi")
     x = posts.select("tok", F.col("id").alias("a"), F.col("meta").alias("ma"), F.col("part").alias("pa"))
     y = posts.select("tok", F.col("id").alias("b"), F.col("meta").alias("mb"), F.col("part").alias("pb"))
+    # all common shingles up to the end of one of both l-prefixes are in both: fewer of them than this, and what
+    # follows the prefix cannot make up the overlap that the pair's sizes ask for
+    n_a, n_b = size(F.col("ma0")), size(F.col("mb0"))
+    up = lambda x, y: -F.floor(-x / y)
+    shared = F.shiftright("ma0", 4).bitwiseAND(F.lit(15)) + up((n_a + n_b) * num, num + den) - F.greatest(up(n_a * num, den), up(n_b * num, den))
+    whole = lambda c: F.shiftleft(F.shiftright(c, 4), 4)
     low = lambda c: F.col(c).bitwiseAND(F.lit(15))
     rest = (
         x.join(y, "tok")
         .where((F.col("pa") != F.col("pb")) & (F.struct(size(F.col("ma")), "a") < F.struct(size(F.col("mb")), "b")))
         .where(_ratio(size(F.col("ma")), size(F.col("mb")), num, den) & (low("ma") <= wants) & (low("mb") <= wants))
-        .groupBy("a", "b")
-        .agg(F.count("*").alias("m"), F.any_value(wants).alias("wants"))
-        .where("m >= wants")
+        .withColumns({"ma0": whole("ma"), "mb0": whole("mb")})
+        .groupBy("a", "b", "ma0", "mb0")
+        .agg(F.count("*").alias("m"))
+        .where(F.col("m") >= shared)
         .select("a", "b")
     )
     linked = linked.unionByName(verified(rest))
