@@ -68,17 +68,14 @@ def min_bin_slack(counts: list[int], size: int) -> list[tuple[list[tuple[int, in
 
 
 def _cut(vocabulary: str, size: int, end_id: int):
-    end = np.array([end_id], "<u4").tobytes()
-
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for keys, ids in encoded(batches, vocabulary):
+        for keys, ids, bounds in encoded(batches, vocabulary, end_id):
             rows: list[tuple] = []
-            for key, x in zip(keys.to_pylist(), ids, strict=True):
-                x += end
-                n = len(x) // 4
+            for key, first, last in zip(keys.to_pylist(), bounds[:-1].tolist(), bounds[1:].tolist(), strict=True):
+                n = last - first
                 at, to, piece = 0, n % size or size, 0
                 while at < n:
-                    rows.append((key, piece, at, to - at, zlib.crc32(x[4 * at : 4 * to])))
+                    rows.append((key, piece, at, to - at, zlib.crc32(ids[first + at : first + to])))
                     at, to, piece = to, to + size, piece + 1
             yield pa.RecordBatch.from_arrays(
                 [pa.array(c, pa.int32() if i == 1 else pa.int64()) for i, c in enumerate(zip(*rows, strict=True))],

@@ -13,27 +13,74 @@ from hashlib import sha256
 
 import numpy as np
 import pyarrow as pa
+from pandas import factorize
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from inkwright.llm.store import new_path
-
-#: Chunks between spaces whose ids are kept in a worker; beyond it the cache starts anew.
-CACHE = 500_000
-#: Longer chunks aren't kept.
-LONG_CHUNK = 128
-_BLANK = re.compile(r"\s")
+from inkwright.llm.words import _grown, mix, text_runs
+
+#: Different pieces whose ids are kept in a worker, and the longest in bytes; beyond it the cache starts anew.
+CACHE, LONG_PIECE = 1_500_000, 64
+#: Bytes of text cut and looked up at a time.
+CHUNK = 2 << 20
+_U = np.uint64
+_RNG = np.random.Generator(np.random.PCG64(7))
+_TABLES = _RNG.integers(1, 2**63, (2, 256), dtype=np.uint64) * _U(2) + _U(1)
+_SPACE = np.zeros(256, bool)
+_SPACE[[9, 10, 11, 12, 13, 28, 29, 30, 31, 32]] = True
+_LETTER = np.zeros(256, bool)
+_LETTER[65:91] = _LETTER[97:123] = True
+#: Signs before which a run of letters ends in any case.
+_SIGN = np.zeros(256, bool)
+_SIGN[list(b".,;:!?*#$%&|()[]{}<>/=+-_@")] = True
+
+
+def _cut(buf: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Starts and ends of pieces of the texts buf[bounds[i]:bounds[i + 1]], each text's first piece, and whether it may be cut.
+
+    Cuts are before single spaces and newlines and between a Latin letter and a sign, where no match
+    of the byte-level pattern crosses. A text with other white space, or white space at its ends or
+    next to other white space, isn't cut.
+    """
+    n = len(buf)
+    space = _SPACE[buf]
+    plain = (buf == 32) | (buf == 10)
+    bad = space & ~plain
+    bad[1:] |= space[1:] & space[:-1]
+    full = bounds[:-1][np.diff(bounds) > 0]
+    bad[full] |= space[full]
+    last = bounds[1:][np.diff(bounds) > 0] - 1
+    bad[last] |= space[last]
+    for i in np.flatnonzero((buf == 0xC2) | (buf == 0xE1) | (buf == 0xE2) | (buf == 0xE3)).tolist():
+        bad[i] |= _WIDE.match(buf[i : i + 3].tobytes()) is not None
+    bad |= buf == 0
+    texts = np.searchsorted(bounds, np.flatnonzero(bad), "right") - 1
+    ok = np.ones(len(bounds) - 1, bool)
+    ok[texts] = False
+    letter = _LETTER[buf]
+    letter[1:] |= (buf[:-1] == 0xC3) & (buf[1:] >= 0x80) & (buf[1:] != 0x97) & (buf[1:] != 0xB7)
+    first = plain
+    first[1:] |= _SIGN[buf[1:]] & letter[:-1]
+    first[full] = True
+    starts = np.flatnonzero(first)
+    ends = np.append(starts[1:], n)
+    return starts, ends, np.searchsorted(starts, bounds), ok
+
+
+#: White space beyond ASCII, in UTF-8.
+_WIDE = re.compile(rb"\xc2[\x85\xa0]|\xe1\x9a\x80|\xe2\x80[\x80-\x8a\xa8\xa9\xaf]|\xe2\x81\x9f|\xe3\x80\x80")
 
 
 class IdEncoder:
-    """Ids of texts, as little-endian 32-bit integers, by a file of the tokenizers library.
+    """Ids of texts by a file of the tokenizers library, in few calls for each different piece.
 
-    Where the file splits text like byte-level BPE does (a single space goes with what follows it),
-    texts are cut at single spaces and newlines, and each different piece is encoded once; texts with
-    other white space are encoded whole. The ids are the library's for the whole text in either case.
-    Strings of special tokens in a text are ordinary text.
+    Where the file splits text like byte-level BPE does, texts are cut where no token crosses, each
+    different piece (told apart by 128 bits of hash) is encoded once by the library, and a text's
+    ids are gathered from its pieces'; other texts and files are encoded whole. The ids are the
+    library's for the whole text in either case. Strings of special tokens are ordinary text.
     """
 
     def __init__(self, path: str):
@@ -46,37 +93,135 @@ class IdEncoder:
             spec = json.load(f)
         pre = spec.get("pre_tokenizer") or {}
         self.cuts = spec.get("normalizer") is None and pre.get("type") == "ByteLevel" and pre.get("use_regex", True) and not pre.get("add_prefix_space")
-        self.first: dict[str, bytes] = {}
-        self.after: dict[str, bytes] = {}
-
-    def _plain(self, texts: list[str]) -> list[bytes]:
-        return [np.array(e.ids, "<u4").tobytes() for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+        self.spaced = np.zeros(self.tokenizer.get_vocab_size(), bool)
+        self.spaced[[i for t, i in self.tokenizer.get_vocab().items() if "\u0120" in t]] = True
+        self._clear()
+
+    def _clear(self) -> None:
+        self.n = 0
+        self.table, self.slots = np.zeros(1 << 16, np.uint64), np.zeros(1 << 16, np.int32)
+        self.key, self.check = np.zeros(1 << 12, np.uint64), np.zeros(1 << 12, np.uint64)
+        self.at = np.zeros((1 << 12) + 1, np.int64)
+        self.flat = np.zeros(1 << 14, np.uint32)
+
+    def plain(self, texts: list[str]) -> list[np.ndarray]:
+        return [np.array(e.ids, np.uint32) for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+
+    def _find(self, keys: np.ndarray) -> np.ndarray:
+        """The slot of each key, or -1: open addressing."""
+        mask = _U(len(self.table) - 1)
+        out, left, at = np.full(len(keys), -1, np.int64), np.arange(len(keys)), keys & mask
+        while len(left):
+            there = self.table[at]
+            hit = there == keys[left]
+            out[left[hit]] = self.slots[at[hit]]
+            on = ~hit & (there != 0)
+            left, at = left[on], (at[on] + _U(1)) & mask
+        return out
 
-    def __call__(self, texts: list[str]) -> list[bytes]:
+    def _enter(self, keys: np.ndarray, slots: np.ndarray) -> None:
+        mask = _U(len(self.table) - 1)
+        at = keys & mask
+        while len(keys):
+            free = self.table[at] == 0
+            self.table[at[free]] = keys[free]
+            mine = free & (self.table[at] == keys)
+            self.slots[at[mine]] = slots[mine]
+            keys, slots, at = keys[~mine], slots[~mine], (at[~mine] + _U(1)) & mask
+
+    def _ids(self, pieces: list[str], spaced: int) -> tuple[np.ndarray, np.ndarray]:
+        """(ids, number for each piece). The first pieces start with a space and are encoded together: only a piece's first id holds a space."""
+        ids, sizes = [], []
+        parts = [pieces[k : min(k + 256, spaced)] for k in range(0, spaced, 256)]
+        for part, got in zip(parts, self.plain(["".join(p) for p in parts]), strict=True):
+            firsts = np.flatnonzero(self.spaced[got])
+            if len(firsts) == len(part) and firsts[0] == 0:
+                ids.append(got)
+                sizes.append(np.diff(firsts, append=len(got)))
+            else:
+                each = self.plain(part)
+                ids += each
+                sizes.append(np.fromiter(map(len, each), np.int64, len(each)))
+        each = self.plain(pieces[spaced:])
+        return np.concatenate([*ids, *each]), np.concatenate([*sizes, np.fromiter(map(len, each), np.int64, len(each))])
+
+    def _add(self, keys: np.ndarray, checks: np.ndarray, pieces: list[str], spaced: int) -> None:
+        n, m = self.n, self.n + len(pieces)
+        ids, sizes = self._ids(pieces, spaced)
+        while m > len(self.key):
+            self.key, self.check = np.tile(self.key, 2), np.tile(self.check, 2)
+            self.at = np.concatenate([self.at, self.at[1:]])
+        ends = self.at[n] + np.cumsum(sizes)
+        while ends[-1] > len(self.flat):
+            self.flat = np.tile(self.flat, 2)
+        self.flat[self.at[n] : ends[-1]] = ids
+        self.at[n + 1 : m + 1], self.key[n:m], self.check[n:m], self.n = ends, keys, checks, m
+        if 2 * m > len(self.table):
+            size = 4 * (1 << m.bit_length())
+            self.table, self.slots = np.zeros(size, np.uint64), np.zeros(size, np.int32)
+            self._enter(self.key[:m], np.arange(m))
+        else:
+            self._enter(keys, np.arange(n, m))
+
+    def _chunk(self, buf: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(ids, ends by text) of the texts in buf."""
+        starts, ends, firsts, ok = _cut(buf, bounds)
+        up, down = _grown(len(buf))
+        hashes = []
+        for table in _TABLES:
+            sums = np.empty(len(buf) + 1, np.uint64)
+            sums[0] = 0
+            np.cumsum(table[buf] * up[: len(buf)], out=sums[1:])
+            hashes.append(mix((sums[ends] - sums[starts]) * down[starts] + (ends - starts).astype(np.uint64)))
+        keys, checks = hashes
+        keys[keys == 0] = 1
+        slots = self._find(keys)
+        missing = np.flatnonzero(slots < 0)
+        if len(missing):
+            codes, new = factorize(keys[missing])
+            at = np.empty(len(new), np.int64)
+            at[codes[::-1]] = missing[::-1]
+            use = ok[np.searchsorted(firsts, at, "right") - 1] & (ends[at] - starts[at] <= LONG_PIECE)
+            at, new = at[use], new[use]
+            space = buf[starts[at]] == 32
+            order = np.argsort(~space, kind="stable")
+            at, new = at[order], new[order]
+            if len(at):
+                data = buf.tobytes()
+                self._add(new, checks[at], [data[a:b].decode() for a, b in zip(starts[at].tolist(), ends[at].tolist(), strict=True)], int(space.sum()))
+                slots[missing] = self._find(keys[missing])
+        lost = (slots < 0) | (self.check[slots] != checks)
+        if lost.any():
+            ok[np.searchsorted(firsts, np.flatnonzero(lost), "right") - 1] = False
+            slots[lost] = 0
+        if not ok.all():
+            gone = np.repeat(~ok, np.diff(firsts))
+        sizes = self.at[slots + 1] - self.at[slots]
+        if not ok.all():
+            sizes[gone] = 0
+        upto = np.cumsum(sizes)
+        total = int(upto[-1]) if len(upto) else 0
+        ids = self.flat[np.repeat(self.at[slots] - (upto - sizes), sizes) + np.arange(total)]
+        text_ends = np.concatenate([[0], upto])[firsts]
+        if ok.all():
+            return ids, text_ends[1:]
+        data = buf.tobytes()
+        whole = np.flatnonzero(~ok)
+        found = dict(zip(whole.tolist(), self.plain([data[bounds[i] : bounds[i + 1]].decode() for i in whole]), strict=True))
+        parts = [found[i] if i in found else ids[text_ends[i] : text_ends[i + 1]] for i in range(len(ok))]
+        return np.concatenate(parts), np.cumsum([len(p) for p in parts])
+
+    def __call__(self, column: pa.Array) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+        """(first row, ids, ends by row) for runs of rows of texts; null: no ids."""
         if not self.cuts:
-            return self._plain(texts)
-        cut: list[list[str] | None] = [None if "\0" in t else t.replace("\n", " \0").split(" ") for t in texts]
-        for kept, space, heads in ((self.first, "", True), (self.after, " ", False)):
-            new = set()
-            for c in cut:
-                if c is not None:
-                    new.update(c[:1] if heads else c[1:])
-            new = [c for c in new if c not in kept and len(c) <= LONG_CHUNK and c and c != "\0" and not _BLANK.search(c)]
-            kept.update(zip(new, self._plain(["\n" + c[1:] if c[0] == "\0" else space + c for c in new]), strict=True))
-        out: list[bytes | None] = []
-        whole = []
-        for i, c in enumerate(cut):
-            try:
-                out.append(self.first[c[0]] + b"".join(map(self.after.__getitem__, c[1:])))
-            except (KeyError, TypeError):
-                whole.append(i)
-                out.append(None)
-        for i, ids in zip(whole, self._plain([texts[i] for i in whole]), strict=True):
-            out[i] = ids
-        if len(self.first) + len(self.after) > CACHE:
-            self.first.clear()
-            self.after.clear()
-        return out
+            for row in range(0, len(column), 256):
+                ids = self.plain([t or "" for t in column[row : row + 256].to_pylist()])
+                yield row, np.concatenate(ids), np.cumsum([len(x) for x in ids])
+            return
+        for row, buf, bounds in text_runs(column, CHUNK):
+            yield row, *self._chunk(buf, bounds)
+            if self.n > CACHE:
+                self._clear()
 
 
 @lru_cache(2)
@@ -84,13 +229,13 @@ def encoder(path: str) -> IdEncoder:
     return IdEncoder(path)
 
 
-def encoded(batches: Iterator[pa.RecordBatch], path: str, at_a_time: int = 256) -> Iterator[tuple[list, list[bytes]]]:
-    """(values of the first column, ids of the texts in the second; null: none), few rows at a time."""
+def encoded(batches: Iterator[pa.RecordBatch], path: str, end_id: int) -> Iterator[tuple[pa.Array, np.ndarray, np.ndarray]]:
+    """(values of the first column, ids of the texts in the second with end_id after each, their bounds), few rows at a time."""
     encode = encoder(path)
     for batch in batches:
-        for i in range(0, len(batch), at_a_time):
-            part = batch.slice(i, at_a_time)
-            yield part.column(0), encode([t or "" for t in part.column(1).to_pylist()])
+        for row, ids, ends in encode(batch.column(1)):
+            bounds = np.concatenate([[0], ends + np.arange(1, len(ends) + 1)])
+            yield batch.column(0).slice(row, len(ends)), np.insert(ids, ends, end_id), bounds
 
 
 def _lists(ids: list[bytes]) -> pa.ListArray:
@@ -99,19 +244,15 @@ def _lists(ids: list[bytes]) -> pa.ListArray:
 
 
 def _encode_sorted(path: str, end_id: int):
-    end = np.array([end_id], "<u4").tobytes()
-
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         part, before = TaskContext.get().partitionId(), 0
-        for keys, ids in encoded(batches, path):
-            ids = [x + end for x in ids]
-            sizes = np.array([len(x) // 4 for x in ids], np.int64)
-            at = before + np.cumsum(sizes) - sizes
-            before += int(sizes.sum())
+        for keys, ids, bounds in encoded(batches, path, end_id):
+            lists = pa.ListArray.from_arrays(pa.array(bounds.astype(np.int32)), pa.array(ids.view(np.int32)))
             yield pa.RecordBatch.from_arrays(
-                [keys, pa.array(np.full(len(ids), part, np.int64)), pa.array(at), pa.array(sizes), _lists(ids)],
+                [keys, pa.array(np.full(len(keys), part, np.int64)), pa.array(before + bounds[:-1]), pa.array(np.diff(bounds)), lists],
                 ["doc_id", "part", "at", "n_ids", "ids"],
             )
+            before += int(bounds[-1])
 
     return run
 

@@ -76,8 +76,8 @@ def _long_text(buf: np.ndarray) -> np.ndarray:
     return np.concatenate(out) if out else np.empty(0, np.uint64)
 
 
-def text_words(column: pa.Array) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
-    """(first row, hashes of words, first word of each row and the end) for runs of rows; null: no words."""
+def text_runs(column: pa.Array, most: int) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+    """(first row, bytes of the texts, each text's start and the end) for runs of rows of at most so many bytes, or one text; null: empty."""
     if isinstance(column, pa.ChunkedArray):
         column = column.combine_chunks()
     column = column.cast(pa.large_binary())
@@ -90,14 +90,19 @@ def text_words(column: pa.Array) -> Iterator[tuple[int, np.ndarray, np.ndarray]]
     buf = np.frombuffer(data, np.uint8) if data is not None else np.empty(0, np.uint8)
     row = 0
     while row < len(column):
-        end = max(row + 1, int(np.searchsorted(offs, offs[row] + CHUNK, "right")) - 1)
-        part, bounds = buf[offs[row] : offs[end]], offs[row : end + 1] - offs[row]
-        if end == row + 1 and len(part) > CHUNK * 8:
+        end = max(row + 1, int(np.searchsorted(offs, offs[row] + most, "right")) - 1)
+        yield row, buf[offs[row] : offs[end]], offs[row : end + 1] - offs[row]
+        row = end
+
+
+def text_words(column: pa.Array) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+    """(first row, hashes of words, first word of each row and the end) for runs of rows; null: no words."""
+    for row, part, bounds in text_runs(column, CHUNK):
+        if len(bounds) == 2 and len(part) > CHUNK * 8:
             hashes = _long_text(part)
             yield row, hashes, np.array([0, len(hashes)])
         else:
             yield row, *_hash_words(part, bounds)
-        row = end
 
 
 def text_shingles(column: pa.Array, k: int) -> Iterator[np.ndarray]:

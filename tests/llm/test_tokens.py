@@ -3,6 +3,7 @@ import zlib
 from hashlib import sha256
 
 import numpy as np
+import pyarrow as pa
 import public_tokenizers as P
 import pytest
 import tiktoken
@@ -29,8 +30,13 @@ def test_cached_encoder_equals_the_library():
     parts = ["a", "don't", " ", "\n", "é", "12", "!?", "'s", "  ", "\t", "word", " ", "'", "_x", "\0"]
     texts = [x or "" for x in ODD] + ["".join(rnd.choice(parts) for _ in range(rnd.randrange(30))) for _ in range(3000)]
     encode = IdEncoder(JSON)
-    for _ in range(2):
-        assert [np.frombuffer(x, "<u4").tolist() for x in encode(texts)] == plain(texts)
+    texts += ["Wörter, ÷.×. x…. «a».b c'd.e", "a-b (c) [d]: 'e' \"f\"", "straße.Next line!?\nnew 'line' 12.5% a1,b2", "end."]
+    expected = plain(texts)
+    for a, b in ((0, len(texts)), (0, 700), (700, 2000)):
+        got = []
+        for _, ids, ends in encode(pa.array(texts[a:b])):
+            got += [x.tolist() for x in np.split(ids, ends[:-1])]
+        assert got == expected[a:b]
 
 
 def frame(spark, texts):
