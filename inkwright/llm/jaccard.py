@@ -228,13 +228,11 @@ def jaccard_components(docs: DataFrame, k: int = 5, num: int = 80, den: int = 10
     size = lambda c: F.shiftright(c, 8).bitwiseAND(F.lit(2**36 - 1))
     need = -F.floor(-(size(F.col("meta")) * num) / den)
     posts = nodes.select("id", "meta", F.posexplode("tokens").alias("at", "tok"))
-    level = F.greatest(F.lit(1), F.col("at") - (size(F.col("meta")) - need) + 1)
-    posts = posts.select("tok", "id", F.col("meta").bitwiseOR(level.cast("long")).alias("meta"))
     by_tok = Window.partitionBy("tok")
     far = F.shiftright("meta", 44)
     posts = posts.withColumn("c", F.min(F.struct(far.alias("far"), F.col("id").alias("id"), size(F.col("meta")).alias("n"))).over(by_tok))
     posts = posts.withColumn("m", F.count("*").over(by_tok)).where("m > 1")
-    posts = written(posts.select("tok", "id", "meta", F.col("c.id").alias("c"), F.col("c.n").alias("cn")), "posts")
+    posts = written(posts.select("tok", "at", "id", "meta", F.col("c.id").alias("c"), F.col("c.n").alias("cn")), "posts")
 
     def verified(pairs: DataFrame) -> DataFrame:
         pairs = written(pairs, "pairs")
@@ -243,7 +241,6 @@ def jaccard_components(docs: DataFrame, k: int = 5, num: int = 80, den: int = 10
         same = docs.where("doc_id is not null").withColumnRenamed("doc_id", "id").join(ids, "id", "left_semi")
         return written(verify_pairs(pairs, same.mapInArrow(_arrays(k), "id long, shingles array<long>"), num, den), "links")
 
-    wants = F.shiftright("ma", 4).bitwiseAND(F.lit(15))
     # most of a prefix is common with the centre; what this passes over is left to the pairs between components
     stars = (
         posts.where("id <> c")
@@ -255,23 +252,20 @@ def jaccard_components(docs: DataFrame, k: int = 5, num: int = 80, den: int = 10
     )
     linked = verified(stars)
     parts = connected_components(linked)
-    posts = posts.join(parts.withColumnRenamed("node", "id"), "id", "left").select("tok", "id", "meta", F.coalesce("component", "id").alias("part"))
+    posts = posts.join(parts.withColumnRenamed("node", "id"), "id", "left").select("tok", "at", "id", "meta", F.coalesce("component", "id").alias("part"))
     posts = posts.withColumn("lo", F.min("part").over(by_tok)).withColumn("hi", F.max("part").over(by_tok)).where("lo <> hi")
-    x = posts.select("tok", F.col("id").alias("a"), F.col("meta").alias("ma"), F.col("part").alias("pa"))
-    y = posts.select("tok", F.col("id").alias("b"), F.col("meta").alias("mb"), F.col("part").alias("pb"))
-    # all common shingles up to the end of one of both l-prefixes are in both: fewer of them than this, and what
-    # follows the prefix cannot make up the overlap that the pair's sizes ask for
-    n_a, n_b = size(F.col("ma0")), size(F.col("mb0"))
+    x, y = (posts.select("tok", *(F.col(c).alias(c + side) for c in ("at", "id", "meta", "part"))) for side in "ab")
+    n_a, n_b, level = size(F.col("metaa")), size(F.col("metab")), F.shiftright("metaa", 4).bitwiseAND(F.lit(15))
     up = lambda x, y: -F.floor(-x / y)
-    shared = F.shiftright("ma0", 4).bitwiseAND(F.lit(15)) + up((n_a + n_b) * num, num + den) - F.greatest(up(n_a * num, den), up(n_b * num, den))
-    whole = lambda c: F.shiftleft(F.shiftright(c, 4), 4)
-    low = lambda c: F.col(c).bitwiseAND(F.lit(15))
+    # a is the smaller set, so the pair needs this much of it; fewer common shingles than `shared` up to where one of
+    # both l-prefixes ends, and what follows cannot make up the overlap that the sizes ask for
+    need_a, need_b = up(n_a * 2 * num, num + den), up(n_b * num, den)
+    shared = level + up((n_a + n_b) * num, num + den) - F.greatest(need_a, need_b)
     rest = (
         x.join(y, "tok")
-        .where((F.col("pa") != F.col("pb")) & (F.struct(size(F.col("ma")), "a") < F.struct(size(F.col("mb")), "b")))
-        .where(_ratio(size(F.col("ma")), size(F.col("mb")), num, den) & (low("ma") <= wants) & (low("mb") <= wants))
-        .withColumns({"ma0": whole("ma"), "mb0": whole("mb")})
-        .groupBy("a", "b", "ma0", "mb0")
+        .where((F.col("parta") != F.col("partb")) & (F.struct(n_a, "ida") < F.struct(n_b, "idb")))
+        .where((n_a * den >= n_b * num) & (F.col("ata") < n_a - need_a + level) & (F.col("atb") < n_b - need_b + level))
+        .groupBy(F.col("ida").alias("a"), F.col("idb").alias("b"), "metaa", "metab")
         .agg(F.count("*").alias("m"))
         .where(F.col("m") >= shared)
         .select("a", "b")
