@@ -39,6 +39,12 @@ def op4_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe_digests(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
 
 
+def op5_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from inkwright.llm.vectors import near_duplicates
+
+    return near_duplicates(table(spark, sf_dir, "embeddings"), 0.95)
+
+
 #: Rules of the url filter: host and path, and what they say.
 URL_RULES = [("net/", "block"), ("example.net/en/", "allow"), ("example.com/de/", "block"), ("org/fr/", "allow")]
 
@@ -49,6 +55,12 @@ def op6_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return filter_urls(table(spark, sf_dir, "pages"), URL_RULES)
 
 
+def op7_nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from inkwright.llm.vectors import nearest
+
+    return nearest(table(spark, sf_dir, "embeddings"), "vec_id % 20 = 0", k=20)
+
+
 def op8_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     from inkwright.llm.jaccard import jaccard_components
 
