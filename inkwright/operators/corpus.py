@@ -16,8 +16,9 @@ def sentences(docs: DataFrame, preset: Preset, source: str = "source", doc_id: s
     """
     t = clean_text(F.col(text), newlines)
     pieces = split_sentences(t, preset) if split else F.array(F.replace(t, F.lit("-"), F.lit("")))
-    rows = docs.select(F.col(source).alias("source"), F.col(doc_id).alias("doc_id"), F.posexplode(pieces).alias("pos", "piece"))
-    rows = rows.select("source", "doc_id", "pos", keep_allowed(F.trim("piece"), preset).alias("text"))
+    # cleaned inside the generator: a filter pushed below a projection would clean a piece for each predicate anew
+    pieces = F.transform(pieces, lambda p: keep_allowed(F.trim(p), preset))
+    rows = docs.select(F.col(source).alias("source"), F.col(doc_id).alias("doc_id"), F.posexplode(pieces).alias("pos", "text"))
     rows = rows.where(acceptable(F.col("text"), preset) if strict else F.length("text") > 0)
     first = rows.groupBy("source", "text").agg(F.min(F.struct("doc_id", "pos")).alias("at"))
     return first.select("source", "text", F.col("at.doc_id").alias("doc_id"), F.col("at.pos").cast("long").alias("pos"))

@@ -33,7 +33,12 @@ def query(sql: str | None):
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    """A table; texts of fewer files than there are cores are dealt out to all, larger inputs are read as they lie."""
+    rows = spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    cores = spark.sparkContext.defaultParallelism
+    if name in ("documents", "conversations", "pages") and rows.rdd.getNumPartitions() < cores:
+        return rows.repartition(cores)
+    return rows
 
 
 def values(spark: SparkSession, rows: list[tuple], schema: str) -> DataFrame:
@@ -80,7 +85,7 @@ def acceptable_sentences(spark, sf):
 )
 def rejection_funnel(spark, sf):
     t = T.clean_text(F.col("text"), "split")
-    rows = table(spark, sf, "documents").select(F.explode(T.split_sentences(t, LATIN)).alias("piece")).select(T.keep_allowed(F.trim("piece"), LATIN).alias("piece"))
+    rows = table(spark, sf, "documents").select(F.explode(F.transform(T.split_sentences(t, LATIN), lambda p: T.keep_allowed(F.trim(p), LATIN))).alias("piece"))
     return rows.select(F.coalesce(T.reject_reason(F.col("piece"), LATIN), F.lit("kept")).alias("reason")).groupBy("reason").agg(F.count("*").alias("n"))
 
 
