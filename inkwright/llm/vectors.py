@@ -214,6 +214,33 @@ def _groups(batches: Iterator[pa.RecordBatch], keys: int) -> Iterator[tuple[tupl
         yield at, pa.Table.from_batches(held)
 
 
+def _may_link(group: pa.Table, i: int, j: int, least: float) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(pairs of a tile that may reach least, dots of rounded vectors, bounds of their errors)."""
+    x = np.frombuffer(b"".join(group["short"].to_pylist()), np.int16).reshape(len(group), -1).astype(np.float64)
+    scale, off = group["scale"].to_numpy(), group["off"].to_numpy()
+    dots = (x @ x.T) * scale[:, None] * scale[None, :]
+    slack = (1 + off)[:, None] * off[None, :] + (1 + off)[None, :] * off[:, None] + off[:, None] * off[None, :]
+    may = dots + slack >= least
+    np.fill_diagonal(may, False)
+    if i != j:
+        side = group["side"].to_numpy()
+        may &= side[:, None] != side[None, :]
+    return may, dots, slack
+
+
+def _hits(least: float):
+    """(cap, id) of the members of a tile that may have a link in it."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for (cap, i, j), group in _groups(batches, 3):
+            if len(group) > 1:
+                who = np.flatnonzero(_may_link(group, i, j, least)[0].any(1))
+                if len(who):
+                    yield pa.RecordBatch.from_arrays([pa.array(np.full(len(who), cap)), pa.array(group["id"].to_numpy()[who])], ["cap", "id"])
+
+    return run
+
+
 def _links(least: float):
     """Links of one tile of a bucket, each in the first bucket that both vectors are in.
 
@@ -223,17 +250,10 @@ def _links(least: float):
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for (_, i, j), group in _groups(batches, 3):
-            ids, n, side = group["id"].to_numpy(), group["n"].to_numpy(), group["side"].to_numpy()
+            ids, n = group["id"].to_numpy(), group["n"].to_numpy()
             if len(ids) < 2:
                 continue
-            x = np.frombuffer(b"".join(group["short"].to_pylist()), np.int16).reshape(len(ids), -1).astype(np.float64)
-            scale, off = group["scale"].to_numpy(), group["off"].to_numpy()
-            dots = (x @ x.T) * scale[:, None] * scale[None, :]
-            slack = (1 + off)[:, None] * off[None, :] + (1 + off)[None, :] * off[:, None] + off[:, None] * off[None, :]
-            may = dots + slack >= least
-            np.fill_diagonal(may, False)
-            if i != j:
-                may &= side[:, None] != side[None, :]
+            may, dots, slack = _may_link(group, i, j, least)
             who = np.flatnonzero(may.any(1))
             if not len(who):
                 continue
@@ -295,8 +315,12 @@ def near_duplicates(rows: DataFrame, least: float = 0.95, vec_id: str = "vec_id"
     # a node is known by its hash, as equal ids may have different vectors
     known = nodes.select(F.col("hi").alias("node"), "n", "vector", "id")
     caps = written(known.select("node", "n", "vector").repartition("node").mapInArrow(_caps(code), schema), "caps")
-    tiles = tiled(caps, "cap", "id").select("cap", "i", "j", "side", "id", "n", "short", "scale", "off", "lower")
-    tiles = tiles.repartition("cap", "i", "j").sortWithinPartitions("cap", "i", "j")
+    dealt = lambda rows, *more: (
+        tiled(rows, "cap", "id").select("cap", "i", "j", "side", "id", "short", "scale", "off", *more).repartition("cap", "i", "j").sortWithinPartitions("cap", "i", "j")
+    )
+    # most vectors have no link: only members that may have one meet again with what tells a pair's first common cap
+    hits = written(dealt(caps).mapInArrow(_hits(least), "cap long, id long").distinct(), "hits")
+    tiles = dealt(caps.join(hits, ["cap", "id"], "left_semi"), "n", "lower")
     found = written(tiles.mapInArrow(_links(least), "a long, b long, n long, open int"), "links")
     x, y = (known.select(F.col("node").alias(c), F.col("n").alias(f"n{c}"), F.col("vector").alias(f"v{c}")) for c in "ab")
     unsure = found.where("open = 1").select("a", "b").join(x, "a").join(y, "b").select("a", "b", "na", "nb", "va", "vb")
