@@ -11,6 +11,7 @@
    quarter of their prefix with it through such lists. What that joins needs no further pair: only pairs of different components are generated from the lists after it.
    So the links found join the same documents as all links would, while a group of m near copies
    costs m pairs a list and not m * m.
+   Bitmaps of the sets bound their overlap, and what cannot reach t is not paired.
 4. Pairs are verified by the exact overlap of their whole shingle sets.
 """
 
@@ -40,6 +41,9 @@ GROUP = 1000
 #: Candidate documents up to which their ids are broadcast (16 MB); beyond it the join shuffles.
 BROADCAST_IDS = 1_000_000
 _CHUNK = 4_000_000
+#: Columns of the parity bitmap of a set: each shingle flips one of 256 bits, so that sets differ by at least as many
+#: shingles as bitmaps do by bits.
+BITS = ("b0", "b1", "b2", "b3")
 
 
 def _common_counts(k: int):
@@ -112,9 +116,11 @@ def _sets(k: int, num: int, den: int, common):
         near = np.zeros(1 << 23, bool)
         near[(hashes >> np.uint64(41)).astype(np.int64)] = True
         for batch in batches:
-            n, hi, lo, meta, tokens, sizes = [], [], [], [], [], [0]
+            n, hi, lo, meta, tokens, sizes, bits = [], [], [], [], [], [0], []
             for s in text_shingles(batch.column(1), k):
                 n.append(len(s))
+                odd = np.bincount((s >> np.uint64(16) & np.uint64(255)).astype(np.int64), minlength=256) & 1
+                bits.append(np.packbits(odd.astype(np.uint8)).view("<i8"))
                 if len(s):
                     both = xxhash.xxh3_128_intdigest(s.tobytes())
                     prefix, level, far = _prefix(s, (hashes, counts, near), num, den)
@@ -129,6 +135,7 @@ def _sets(k: int, num: int, den: int, common):
                     prefix = s
                 sizes.append(sizes[-1] + len(prefix))
             flat = np.concatenate(tokens).view(np.int64) if tokens else np.empty(0, np.int64)
+            words = np.array(bits, np.int64).reshape(-1, 4)
             yield pa.RecordBatch.from_arrays(
                 [
                     batch.column(0).cast(pa.int64()),
@@ -137,8 +144,9 @@ def _sets(k: int, num: int, den: int, common):
                     pa.array(np.array(lo, np.uint64).view(np.int64)),
                     pa.array(np.array(meta, np.int64)),
                     pa.ListArray.from_arrays(pa.array(np.array(sizes, np.int32)), pa.array(flat)),
+                    *(pa.array(words[:, i]) for i in range(4)),
                 ],
-                ["doc_id", "n", "hi", "lo", "meta", "tokens"],
+                ["doc_id", "n", "hi", "lo", "meta", "tokens", *BITS],
             )
 
     return run
@@ -218,12 +226,12 @@ def jaccard_components(docs: DataFrame, k: int = 5, num: int = 80, den: int = 10
     spark = docs.sparkSession
     docs = docs.select(docs[doc_id].cast("long").alias("doc_id"), docs[text].cast("string").alias("text"))
     common = spark.sparkContext.broadcast(common_shingles(docs.select("text"), k))
-    schema = "doc_id long, n long, hi long, lo long, meta long, tokens array<long>"
+    schema = "doc_id long, n long, hi long, lo long, meta long, tokens array<long>, b0 long, b1 long, b2 long, b3 long"
     sets = written(docs.mapInArrow(_sets(k, num, den, common), schema), "sets")
     nodes = (  # the tokens of equal sets are equal
         sets.where("n > 0 and doc_id is not null")
         .groupBy("hi", "lo")
-        .agg(F.min("doc_id").alias("id"), F.any_value("meta").alias("meta"), F.any_value("tokens").alias("tokens"))
+        .agg(F.min("doc_id").alias("id"), F.any_value("meta").alias("meta"), F.any_value("tokens").alias("tokens"), *(F.any_value(b).alias(b) for b in BITS))
     )
     size = lambda c: F.shiftright(c, 8).bitwiseAND(F.lit(2**36 - 1))
     need = -F.floor(-(size(F.col("meta")) * num) / den)
@@ -252,19 +260,22 @@ def jaccard_components(docs: DataFrame, k: int = 5, num: int = 80, den: int = 10
     )
     linked = verified(stars)
     parts = connected_components(linked)
-    posts = posts.join(parts.withColumnRenamed("node", "id"), "id", "left").select("tok", "at", "id", "meta", F.coalesce("component", "id").alias("part"))
+    known = nodes.select("id", *BITS).join(parts.withColumnRenamed("node", "id"), "id", "left").withColumn("part", F.coalesce("component", "id"))
+    posts = posts.select("tok", "at", "id", "meta").join(known, "id")
     posts = posts.withColumn("lo", F.min("part").over(by_tok)).withColumn("hi", F.max("part").over(by_tok)).where("lo <> hi")
-    x, y = (posts.select("tok", *(F.col(c).alias(c + side) for c in ("at", "id", "meta", "part"))) for side in "ab")
+    x, y = (posts.select("tok", *(F.col(c).alias(c + side) for c in ("at", "id", "meta", "part", *BITS))) for side in "ab")
     n_a, n_b, level = size(F.col("metaa")), size(F.col("metab")), F.shiftright("metaa", 4).bitwiseAND(F.lit(15))
     up = lambda x, y: -F.floor(-x / y)
     # a is the smaller set, so the pair needs this much of it; fewer common shingles than `shared` up to where one of
     # both l-prefixes ends, and what follows cannot make up the overlap that the sizes ask for
     need_a, need_b = up(n_a * 2 * num, num + den), up(n_b * num, den)
     shared = level + up((n_a + n_b) * num, num + den) - F.greatest(need_a, need_b)
+    differ = sum((F.bit_count(F.col(b + "a").bitwiseXOR(F.col(b + "b"))) for b in BITS), F.lit(0))
     rest = (
         x.join(y, "tok")
         .where((F.col("parta") != F.col("partb")) & (F.struct(n_a, "ida") < F.struct(n_b, "idb")))
         .where((n_a * den >= n_b * num) & (F.col("ata") < n_a - need_a + level) & (F.col("atb") < n_b - need_b + level))
+        .where(differ <= n_a + n_b - 2 * up((n_a + n_b) * num, num + den))
         .groupBy(F.col("ida").alias("a"), F.col("idb").alias("b"), "metaa", "metab")
         .agg(F.count("*").alias("m"))
         .where(F.col("m") >= shared)
