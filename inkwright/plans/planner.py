@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from inkwright.operators.qa import hash_order
+from inkwright.store import written
 
 #: Shares of difficulties, in the order they are drawn.
 DIFFICULTIES = (("clean", 0.25), ("light", 0.35), ("medium", 0.25), ("hard", 0.15))
@@ -69,8 +70,11 @@ def uniform(items: DataFrame, fonts: DataFrame, key: str, family: str, font: str
 
 
 def dense_index(rows: DataFrame, order: list[str]) -> DataFrame:
-    """rows with idx, from 0 in order: ranks within ranges, then counts of the ranges before; no window over all rows."""
-    ranged = rows.repartitionByRange(*order).withColumn("_part", F.spark_partition_id())
+    """rows with idx, from 0 in order: ranks within ranges, then counts of the ranges before; no window over all rows.
+
+    Ranges are drawn from samples, so the rows are written with their range before they are counted and ranked.
+    """
+    ranged = written(rows.repartitionByRange(*order).withColumn("_part", F.spark_partition_id()), "ranges")
     inner = ranged.withColumn("_rn", F.row_number().over(Window.partitionBy("_part").orderBy(*order)))
     counts = ranged.groupBy("_part").agg(F.count("*").alias("_n"))
     counts = counts.select("_part", (F.sum("_n").over(Window.orderBy("_part")) - F.col("_n")).alias("_before"))

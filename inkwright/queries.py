@@ -523,6 +523,32 @@ def export_summary(spark, sf):
     return rows.groupBy("source").agg(F.count("*").alias("files"), F.sum(F.length("text")).alias("total"))
 
 
+@query(None)
+def benchmark_plan(spark, sf):
+    """The three-tier plan over documents; hashed draws through several joins, checked in tests for its budgets and coverage."""
+    from inkwright.plans import build
+
+    docs = table(spark, sf, "documents")
+    words = docs.select("source", F.explode(F.split("text", r"[ \n]+", -1)).alias("text")).where(T.word_entry(F.col("text"), LATIN)).distinct()
+    cmap = values(spark, [(k, k[:4], a, b) for k, (a, b) in FONTS.items()], "font_key string, family string, lo int, hi int")
+    cmap = cmap.select("font_key", "family", F.explode(F.sequence("lo", "hi")).alias("cp"))
+    pairs = values(spark, PAIRS, "target string, confusable string")
+    return build.build_plan(_derived(spark, sf), words, corpus.sentences(docs, LATIN), pairs, cmap)
+
+
+@query(None)
+def image_measures(spark, sf):
+    """Ink and contrast of embeddings as grey images of 8 x 8 pixels, and the gate that fails."""
+    from inkwright.operators import images
+
+    pixel = F.transform("embedding", lambda x: F.hex(F.least(F.lit(255), F.greatest(F.lit(0), F.floor(x.cast("double") * 128 + 128))).cast("long")))
+    rows = table(spark, sf, "embeddings").select(
+        F.col("vec_id").alias("idx"), F.unhex(F.array_join(F.transform(pixel, lambda h: F.lpad(h, 2, "0")), "")).alias("pixels"), F.lit(8).alias("height"), F.lit(8).alias("width")
+    )
+    out = images.measure(rows)
+    return out.withColumn("gate", qa.gate(F.col("ink_ratio"), F.col("contrast")))
+
+
 def queries() -> dict:
     return dict(_QUERIES)
 
