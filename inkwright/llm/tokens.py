@@ -23,9 +23,9 @@ from inkwright.llm.store import new_path
 from inkwright.llm.words import _grown, mix, text_runs
 
 #: Different pieces whose ids are kept in a worker, and the longest in bytes; beyond it the cache starts anew.
-CACHE, LONG_PIECE = 1_500_000, 64
+CACHE, LONG_PIECE = 800_000, 64
 #: Bytes of text cut and looked up at a time.
-CHUNK = 2 << 20
+CHUNK = 1 << 20
 _U = np.uint64
 _RNG = np.random.Generator(np.random.PCG64(7))
 _TABLES = _RNG.integers(1, 2**63, (2, 256), dtype=np.uint64) * _U(2) + _U(1)
