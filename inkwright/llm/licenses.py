@@ -60,9 +60,8 @@ TEMPLATES = (
     ("", "GNU Lesser General Public License"),
     ("", "Creative Commons License"),
 )
-#: What a sentence or a text must hold to be compared, and the words of a text of few that the query takes for a licence file.
+#: What a sentence or a text must hold to be compared.
 CUE = r"(?i)licen[sc]e|copyright|public\s+domain|creative\s*commons|spdx|permission\s+is\s+granted|hereby\s+granted|redistribution|under\s+the\s+(?:mit|bsd|isc)|(?<![a-z])(?:[al]?gpl|cc0|cc[ -]by)"
-FILE_WORDS = 40
 #: Least cosines of sentences, windows and whole texts, and by how much the best license of a sentence or window must lead.
 LEAST, LEAST_WINDOW, LEAST_WHOLE, LEAD = 0.55, 0.75, 0.82, 0.01
 #: Tokens in a window; a template meets windows of the size next to its own. One of ANCHORS must be in a window.
@@ -207,11 +206,11 @@ def directory_of(path: Column) -> Column:
     return F.regexp_replace(path, r"/?[^/]*$", "")
 
 
-def scan(files: DataFrame, key: str = "doc_id", path: str = "path", text: str = "text", is_file: Column | None = None) -> DataFrame:
+def scan(files: DataFrame, key: str = "doc_id", path: str = "path", text: str = "text", is_file: Column | None = None, whole: bool = False) -> DataFrame:
     """(key, path, license, score, source, inherited_from) of every row of files.
 
     source: "header" for a notice in the text, "file" where is_file holds too (without it: names such as
-    LICENSE or COPYING), "inherited" where there is none and a directory at or above the file's has a
+    LICENSE or COPYING; with whole: where a template covers the whole text, whatever its length), "inherited" where there is none and a directory at or above the file's has a
     licence file, else null, as license then is. Of several in the nearest such directory the best
     scored counts, then the least path. Null paths and texts have no license. Rows with equal keys share a notice.
     """
@@ -220,6 +219,7 @@ def scan(files: DataFrame, key: str = "doc_id", path: str = "path", text: str =
     rows = rows.withColumn("is_file", named if is_file is None else is_file)
     found = written(notices(rows, "key", "text"), "notices")
     rows = rows.select("key", "path", "is_file", directory_of(F.col("path")).alias("dir")).join(found, "key", "left")
+    rows = rows.withColumn("is_file", F.coalesce("covered", F.lit(False))) if whole else rows
     own = rows.where("is_file and license is not null and dir is not null").groupBy("dir")
     own = own.agg(F.min_by("license", F.struct(-F.col("score"), "path", "license")).alias("given")).withColumnRenamed("dir", "above")
     # every directory once, with itself and all above it

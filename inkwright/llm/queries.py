@@ -74,14 +74,12 @@ def op9_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op10_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Documents as files /source/lang/doc_id; those of FILE_WORDS words or fewer that hold a notice are licence files."""
-    from inkwright.llm.licenses import FILE_WORDS, scan
+    """Documents as files /source/lang/doc_id; those whose whole text is much like a license's text or notice are licence files."""
+    from inkwright.llm.licenses import scan
 
     docs = table(spark, sf_dir, "documents")
     path = F.concat_ws("/", F.lit(""), "source", "lang", F.col("doc_id").cast("string"))
-    short = F.length(F.coalesce("text", F.lit(""))) <= 12 * FILE_WORDS
-    few = short & (F.size(F.split("text", r"\s+")) <= FILE_WORDS)
-    return scan(docs.select("doc_id", path.alias("path"), "text"), is_file=F.coalesce(few, F.lit(False)))
+    return scan(docs.select("doc_id", path.alias("path"), "text"), whole=True)
 
 
 def queries() -> dict:
