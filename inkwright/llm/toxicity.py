@@ -186,6 +186,12 @@ def _evidence(toxic: int, clean: int, rate: float) -> float:
     return n * (p * log(p / rate) + ((1 - p) * log((1 - p) / (1 - rate)) if clean else 0.0)) if p > rate else 0.0
 
 
+def _is_harmless(clean: int, toxic: int, n0: int, n1: int, tried: int) -> bool:
+    """Whether a word is of clean documents by the tests that make a stem one of toxic documents."""
+    share = (clean / n0) / (clean / n0 + (toxic + 0.5) / n1)
+    return share >= LEAST_SHARE and _evidence(clean, toxic, n0 / (n0 + n1)) > log(tried) + 2
+
+
 def logistic(x: np.ndarray, y: np.ndarray, ridge: float = 1e-3) -> tuple[float, ...]:
     """Intercept and coefficients by Newton's method, each class weighing half; coefficients of 0 or more."""
     x = np.column_stack([np.ones(len(x)), x])
@@ -212,8 +218,8 @@ def fit(docs: DataFrame, labels: DataFrame, trains: Column | None = None, doc_id
     """A model from the labelled documents (those of which trains, a Column over doc_id, holds).
 
     Stems are prefixes of folded words, kept where toxic documents outweigh the others by more than
-    chance would bring about among all stems; whole words of
-    clean documents that hold a kept stem become exceptions. Of documents with the same least shingle
+    chance would bring about among all stems; whole words that start with a kept stem become
+    exceptions where clean documents outweigh toxic ones by the same test. Of documents with the same least shingle
     of five words, mostly copies, one counts. Several labels of a document: the greatest.
     Null labels and documents without a text teach nothing. Without labels of both classes the lexicon is empty.
     """
@@ -246,8 +252,12 @@ def fit(docs: DataFrame, labels: DataFrame, trains: Column | None = None, doc_id
         if share(s) >= LEAST_SHARE and _evidence(found[s], clean.get(s, 0), n1 / (n1 + n0)) > log(tried) + 2 and not any(s[:k] in kept for k in range(STEM, len(s))):
             kept[s] = log(share(s) / (1 - share(s)))
     kept = dict(sorted(kept.items(), key=lambda x: (-x[1], x[0]))[:ENTRIES])
-    words = clean_rows.mapInArrow(_count_stems(spark.sparkContext.broadcast((set(), set(kept)))), schema).where("word")
-    harmless = [r["stem"] for r in words.groupBy("stem").agg(F.sum("n").alias("n")).orderBy(F.desc("n"), "stem").limit(ENTRIES).collect()]
+    # whole words that start with a kept stem, by the documents of each class that hold them
+    starts = _count_stems(spark.sparkContext.broadcast((set(), set(kept))))
+    per_word = lambda part: part.mapInArrow(starts, schema).where("word").groupBy("stem").agg(F.sum("n").alias("n"))
+    in_toxic = per_word(rows.where("toxic = 1").select("text")).select("stem", F.col("n").alias("toxic"))
+    words = per_word(clean_rows).join(in_toxic, "stem", "left").orderBy(F.desc("n"), "stem").limit(20 * ENTRIES).collect()
+    harmless = [r["stem"] for r in words if _is_harmless(r["n"], r["toxic"] or 0, n0, n1, len(words))][:ENTRIES]
     model = Model(tuple(sorted(kept.items())), words=tuple(sorted(harmless)))
     got = rows.mapInArrow(_weights(spark.sparkContext.broadcast(model)), "toxic int, weight double, words long").toPandas()
     x = np.array([features(w, n) for w, n in zip(got["weight"], got["words"], strict=True)])

@@ -63,3 +63,21 @@ def test_op1_held_out(spark):
     assert all(r.held_out == (zlib.crc32(str(r.doc_id).encode()) % 5 == 0) for r in rows)
     own = [r for r in rows if r.held_out and r.doc_id in labels]
     assert sum(r.predicted == labels[r.doc_id] for r in own) >= 0.93 * len(own)
+
+
+def test_a_few_mislabelled_documents_do_not_silence_a_word(spark):
+    rnd = random.Random(7)
+    words = ["".join(rnd.choice("aeioubcdlmnrst") for _ in range(rnd.randrange(3, 9))) for _ in range(400)]
+    rows, labels = [], []
+    for i in range(600):
+        w = [rnd.choice(words) for _ in range(40)]
+        bad = i % 4 == 0
+        if bad:
+            w.insert(rnd.randrange(len(w)), "vexklam")
+        rows.append((i, " ".join(w)))
+        labels.append((i, int(bad and i % 200 != 0)))  # three toxic documents are labelled clean
+    docs, marks = spark.createDataFrame(rows, "doc_id long, text string"), spark.createDataFrame(labels, "doc_id long, toxic int")
+    model = fit(docs, marks)
+    assert "vexklam" not in model.words and matched("so vexklam it is", automaton(model))[0] > 0
+    got = {r.doc_id for r in score(docs, model).collect() if r.score >= 0.5}
+    assert got == {i for i in range(600) if i % 4 == 0}
