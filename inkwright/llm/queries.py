@@ -13,7 +13,8 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     from inkwright.llm.toxicity import fit, score
 
-    docs, fold = table(spark, sf_dir, "documents"), F.crc32(F.col("doc_id").cast("string").cast("binary")) % 5
+    # a null doc_id has no remainder, so it is held out of nothing
+    docs, fold = table(spark, sf_dir, "documents"), F.coalesce(F.crc32(F.col("doc_id").cast("string").cast("binary")) % 5, F.lit(-1))
     scores = score(docs, fit(docs, table(spark, sf_dir, "labels"), fold != 0))
     return scores.select("doc_id", (fold == 0).alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
 
@@ -87,4 +88,7 @@ def queries() -> dict:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    """SQL where it can express the query: op1 to op5 and op7 call libraries, fit models on samples or search by trees."""
+    from inkwright.llm.urls import filter_sql
+
+    return {"op6_url_filter": filter_sql(URL_RULES)}
