@@ -132,6 +132,14 @@ def _sorted(spans: Column) -> Column:
     return F.transform(ranked, lambda x: F.struct(x["start"].alias("start"), x["end"].alias("end"), x["kind"].alias("kind")))
 
 
+def _fresh(name: str, columns: list[str]) -> str:
+    """name, with as many underscores before it as keep it apart from columns, whatever their case."""
+    taken = {c.lower() for c in columns}
+    while name.lower() in taken:
+        name = "_" + name
+    return name
+
+
 def find_secrets(docs: DataFrame, text: str = "text", into: str = "secret_spans", base_into: str = "base_spans", models: tuple[str, float] | None = None) -> DataFrame:
     """docs with two more columns of [(start, end, kind)] by start and kind: all spans, and those of BASE.
 
@@ -143,14 +151,14 @@ def find_secrets(docs: DataFrame, text: str = "text", into: str = "secret_spans"
     table, least = models or fit_models(docs, text)
     t = F.coalesce(F.col(text), F.lit(""))
     base = F.concat(*(_spans(t, p, k, n, g, m) for (k, p, n, g), m in zip(BASE, _MAYBE, strict=True)))
-    run = rf"(?<!{_RUN}){_RUN}{{{JUDGED},}}+"
-    out = docs.withColumn(base_into, _sorted(base)).withColumn("_runs", _spans(t, run, "random", JUDGED, 0, run))
+    run, runs = rf"(?<!{_RUN}){_RUN}{{{JUDGED},}}+", _fresh("runs", [*docs.columns, into, base_into])
+    out = docs.withColumn(base_into, _sorted(base)).withColumn(runs, _spans(t, run, "random", JUDGED, 0, run))
     random = F.filter(
-        F.col("_runs"),
+        F.col(runs),
         lambda x: ~F.exists(F.col(base_into), lambda b: (b["start"] < x["end"]) & (x["start"] < b["end"]))
         & (_ratio(F.substring(t, (x["start"] + 1).cast("int"), (x["end"] - x["start"]).cast("int")), table) > F.lit(least)),
     )
-    return out.withColumn(into, F.when(F.size("_runs") > 0, _sorted(F.concat(F.col(base_into), random))).otherwise(F.col(base_into))).drop("_runs")
+    return out.withColumn(into, F.when(F.size(runs) > 0, _sorted(F.concat(F.col(base_into), random))).otherwise(F.col(base_into))).drop(runs)
 
 
 def secret_digests(docs: DataFrame) -> DataFrame:
@@ -167,13 +175,18 @@ def secret_digests(docs: DataFrame) -> DataFrame:
 
 
 def redact(docs: DataFrame, text: str = "text", mark: str = "[secret]", models: tuple[str, float] | None = None) -> DataFrame:
-    """docs with every span of a secret in text replaced by mark; spans that overlap become one mark."""
-    found = find_secrets(docs, text, "_spans", "_base", models)
+    """docs with every span of a secret in text replaced by mark; spans that overlap become one mark.
+
+    Null texts stay null; equal rows stay equal; all columns stay in their places, whatever their names.
+    """
+    spans = _fresh("spans", docs.columns)
+    base = _fresh("base", [*docs.columns, spans])
+    found = find_secrets(docs, text, spans, base, models)
     t = F.col(text)
     start = F.struct(F.lit(0).cast("long").alias("at"), F.lit("").alias("out"))
     cut = lambda a, n: F.substring(t, (a + 1).cast("int"), n.cast("int"))
     walk = F.aggregate(
-        F.col("_spans"),
+        F.col(spans),
         start,
         lambda acc, x: F.struct(
             F.greatest(acc["at"], x["end"]).alias("at"),
@@ -181,5 +194,5 @@ def redact(docs: DataFrame, text: str = "text", mark: str = "[secret]", models:
         ),
         lambda acc: F.concat(acc["out"], cut(acc["at"], F.length(t))),
     )
-    return found.withColumn(text, F.when(F.size("_spans") > 0, walk).otherwise(t)).drop("_spans", "_base")
+    return found.withColumn(text, F.when(F.size(spans) > 0, walk).otherwise(t)).drop(spans, base)
 
