@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from inkwright.llm.store import written
+from inkwright.llm.store import small_batches, trimmed, written
 from inkwright.llm.tokens import encoded
 
 #: Pieces of one length that are numbered in a task.
@@ -116,8 +116,9 @@ def pack(docs: DataFrame, vocabulary: str, size: int = 2048, end_id: int = 0, do
     their rank among those of their length, which tasks number apart and sum up.
     """
     spark = docs.sparkSession
+    small_batches(spark)
     rows = docs.select(docs[doc_id].cast("long").alias("doc_id"), docs[text].cast("string"))
-    pieces = written(rows.mapInArrow(_cut(vocabulary, size, end_id), "doc_id long, piece int, start long, length long, ids_crc32 long"), "pieces")
+    pieces = written(rows.mapInArrow(trimmed(_cut(vocabulary, size, end_id)), "doc_id long, piece int, start long, length long, ids_crc32 long"), "pieces")
     counts = [0] * (size + 1)
     for r in pieces.groupBy("length").count().collect():
         counts[r["length"]] = r["count"]
@@ -139,4 +140,4 @@ def pack(docs: DataFrame, vocabulary: str, size: int = 2048, end_id: int = 0, do
     before = salted.groupBy("length", "salt").agg(F.max("rn").cast("long").alias("n"))
     before = before.select("length", "salt", (F.sum("n").over(Window.partitionBy("length").orderBy("salt")) - F.col("n")).alias("before"))
     ranked = salted.join(before, ["length", "salt"]).select(*pieces.columns, (F.col("before") + F.col("rn") - 1).alias("rank"))
-    return ranked.mapInArrow(_placed(tables), "doc_id long, piece int, start long, length long, ids_crc32 long, sequence_id long, offset long")
+    return ranked.mapInArrow(trimmed(_placed(tables)), "doc_id long, piece int, start long, length long, ids_crc32 long, sequence_id long, offset long")

@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from inkwright.llm.store import new_path
+from inkwright.llm.store import new_path, small_batches, trimmed
 from inkwright.llm.words import _grown, mix, text_runs
 
 #: Different pieces whose ids are kept in a worker, and the longest in bytes; beyond it the cache starts anew.
@@ -277,9 +277,10 @@ def write_ids(docs: DataFrame, path: str, vocabulary: str, end_id: int, doc_id:
     parallel. The order is a range partitioning: files of one range each, null ids first, equal ids
     next to each other. Null texts hold end_id alone; an empty table gives no rows.
     """
+    small_batches(docs.sparkSession)
     rows = docs.select(docs[doc_id].cast("long").alias("doc_id"), docs[text].cast("string").alias("text"))
     rows = rows.repartitionByRange("doc_id").sortWithinPartitions("doc_id")
-    ids = rows.mapInArrow(_encode_sorted(vocabulary, end_id), "doc_id long, part long, at long, n_ids long, ids array<int>")
+    ids = rows.mapInArrow(trimmed(_encode_sorted(vocabulary, end_id)), "doc_id long, part long, at long, n_ids long, ids array<int>")
     (
         ids.write.option("compression", "zstd")
         .option("orc.bloom.filter.columns", "doc_id")
@@ -306,7 +307,7 @@ def orc_digests(docs: DataFrame, vocabulary: str, end_id: int, path: str | None
     path = path or new_path(spark, "orc")
     write_ids(docs, path, vocabulary, end_id)
     files = spark.read.schema("doc_id long, part long, at long, n_ids long, ids array<int>").orc(path)
-    rows = files.select("doc_id", "part", "at", "ids").mapInArrow(_digests, "doc_id long, part long, at long, n_tokens long, ids_crc32 long")
+    rows = files.select("doc_id", "part", "at", "ids").mapInArrow(trimmed(_digests), "doc_id long, part long, at long, n_tokens long, ids_crc32 long")
     base = files.groupBy("part").agg(F.sum("n_ids").alias("n"))
     base = base.select("part", (F.sum("n").over(Window.orderBy("part")) - F.col("n")).alias("base"))
     return rows.join(base, "part").select("doc_id", (F.col("base") + F.col("at")).alias("start"), "n_tokens", "ids_crc32")
@@ -384,18 +385,20 @@ def _tiktoken_decode(path: str, pattern: str):
 
 def bpe_encode(docs: DataFrame, ranks: str, pattern: str, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """(doc_id, ids array<int>) of every whole text; null and empty texts: no ids. Each match of pattern is merged by itself."""
+    small_batches(docs.sparkSession)
     return docs.select(docs[doc_id].cast("long").alias("doc_id"), docs[text].cast("string")).mapInArrow(
-        _tiktoken_ids(ranks, pattern), "doc_id long, ids array<int>"
+        trimmed(_tiktoken_ids(ranks, pattern)), "doc_id long, ids array<int>"
     )
 
 
 def bpe_decode(tokens: DataFrame, ranks: str, pattern: str) -> DataFrame:
     """(doc_id, data binary) of (doc_id, ids): raw bytes, so ids that cut a character in two lose nothing."""
-    return tokens.select("doc_id", "ids").mapInArrow(_tiktoken_decode(ranks, pattern), "doc_id long, data binary")
+    return tokens.select("doc_id", "ids").mapInArrow(trimmed(_tiktoken_decode(ranks, pattern)), "doc_id long, data binary")
 
 
 def bpe_digests(docs: DataFrame, ranks: str, pattern: str, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """(doc_id, n_tokens, ids_sha256, decoded_sha256): bpe_encode and bpe_decode in one pass over every row, equal rows too."""
+    small_batches(docs.sparkSession)
     return docs.select(docs[doc_id].cast("long").alias("doc_id"), docs[text].cast("string")).mapInArrow(
-        _tiktoken(ranks, pattern), "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string"
+        trimmed(_tiktoken(ranks, pattern)), "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string"
     )

@@ -12,11 +12,12 @@ from math import exp, log, log1p
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from inkwright.llm.store import written
-from inkwright.llm.words import text_shingles
+from inkwright.llm.store import small_batches, trimmed, written
+from inkwright.llm.words import mix, text_shingles
 
 #: Labelled documents that a model is fitted on: those of least hash, about so many. The lexicon and
 #: the calibration come from them; scores are of all documents.
@@ -24,6 +25,8 @@ LABELLED = 20_000
 #: Shortest and longest stem, least toxic documents of an entry, least share of toxic documents among those
 #: that hold it at equal class sizes, most entries.
 STEM, LONGEST, LEAST_DOCS, LEAST_SHARE, ENTRIES = 4, 12, 3, 0.9, 5000
+#: Bands and rows by which copies among labelled documents are found: of texts that share 0.8 of their shingles 99 in 100, 0.2 one in 20.
+BANDS, ROWS = 6, 3
 #: Phrases in which a word of the lexicon is harmless, folded like texts.
 EXCEPTIONS = ("trash can", "trash bin", "trash bag", "trash collection", "clown fish", "clownfish", "class clown", "trashcan", "idiot proof", "scum line", "pond scum")
 #: Letters that look like Latin ones, and digits and signs that stand for letters between letters. Fixed values.
@@ -110,8 +113,15 @@ def matched(text: str, a) -> tuple[float, int]:
             hits, bars = [], []
             for end, (size, weight) in a.iter(part):
                 (hits if weight else bars).append((end - size + 1, end, weight))
+            if bars:  # both in order of their starts, and how far the exceptions that have begun reach
+                hits.sort()
+                bars.sort()
+            at, reach = 0, -1
             for start, end, weight in hits:
-                if not any(s <= start and end <= e for s, e, _ in bars):
+                while at < len(bars) and bars[at][0] <= start:
+                    reach = max(reach, bars[at][1])
+                    at += 1
+                if reach < end:
                     total += weight
     return total, t.count(" ") - 1
 
@@ -152,10 +162,34 @@ def _count_stems(kept):
     return run
 
 
-def _least_shingle(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _bands(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Each row with BANDS hashes of least shingles of five words in BANDS * ROWS orders."""
+    odd = np.random.Generator(np.random.PCG64(17)).integers(1, 2**63, (BANDS, ROWS), dtype=np.uint64) * np.uint64(2) + np.uint64(1)
     for batch in batches:
-        least = [int(s[0]) if len(s) else 0 for s in text_shingles(batch.column(0), 5)]
-        yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(np.array(least, np.uint64).view(np.int64))], ["text", "toxic", "least"])
+        bands = [[xxhash.xxh3_64_intdigest(np.array([mix(s * m).min() for m in own]).tobytes()) for own in odd] if len(s) else [0] * BANDS for s in text_shingles(batch.column(1), 5)]
+        flat = pa.array(np.array(bands, np.uint64).view(np.int64).reshape(-1))
+        lists = pa.ListArray.from_arrays(pa.array(np.arange(0, len(flat) + 1, BANDS, dtype=np.int32)), flat)
+        yield pa.RecordBatch.from_arrays([*batch.columns, lists], ["doc_id", "text", "toxic", "bands"])
+
+
+def _one_of_copies(ids: list[int], labels: list[int], bands: list[list[int]]) -> list[int]:
+    """The least id of each group of rows that share a label and a band with another of the group."""
+    part = list(range(len(ids)))
+
+    def find(x: int) -> int:
+        while part[x] != x:
+            part[x] = part[part[x]]
+            x = part[x]
+        return x
+
+    first: dict[tuple[int, int, int], int] = {}
+    for row in sorted(range(len(ids)), key=ids.__getitem__):
+        for at, band in enumerate(bands[row]):
+            a, b = find(first.setdefault((labels[row], at, band), row)), find(row)
+            if a != b:
+                low, high = (a, b) if ids[a] < ids[b] else (b, a)
+                part[high] = low
+    return [ids[row] for row in range(len(ids)) if find(row) == row]
 
 
 def _weights(model):
@@ -219,33 +253,39 @@ def fit(docs: DataFrame, labels: DataFrame, trains: Column | None = None, doc_id
 
     Stems are prefixes of folded words, kept where toxic documents outweigh the others by more than
     chance would bring about among all stems; whole words that start with a kept stem become
-    exceptions where clean documents outweigh toxic ones by the same test. Of documents with the same least shingle
-    of five words, mostly copies, one counts. Several labels of a document: the greatest.
+    exceptions where clean documents outweigh toxic ones by the same test. Of copies, near ones too, with one label one
+    counts; of several texts of a doc_id the least. Several labels of a document: the greatest.
     Null labels and documents without a text teach nothing. Without labels of both classes the lexicon is empty.
     """
+    small_batches(docs.sparkSession)
     own = labels.select(labels[doc_id].cast("long").alias("doc_id"), labels[label].cast("int").alias("toxic")).where("doc_id is not null and toxic is not null")
     own = own if trains is None else own.where(trains)
     own = own.groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
     # at most LABELLED rows of two numbers
     sample = written(own.orderBy(F.xxhash64("doc_id"), "doc_id").limit(LABELLED), "labels")
-    texts = docs.select(docs[doc_id].cast("long").alias("doc_id"), docs[text].cast("string").alias("text"))
-    rows = texts.join(F.broadcast(sample), "doc_id").select("text", "toxic").mapInArrow(_least_shingle, "text string, toxic int, least long")
+    texts = docs.select(docs[doc_id].cast("long").alias("doc_id"), docs[text].cast("string").alias("text")).where("text is not null")
+    # as many rows as the sample has, each of one text
+    rows = texts.join(F.broadcast(sample), "doc_id").groupBy("doc_id").agg(F.min("text").alias("text"), F.max("toxic").alias("toxic"))
+    rows = written(rows.mapInArrow(trimmed(_bands), "doc_id long, text string, toxic int, bands array<long>"), "labelled")
     # copies would make any word of theirs look like a mark of their label
-    rows = written(rows.groupBy("least").agg(F.min(F.struct("text", "toxic")).alias("r")).select("r.text", "r.toxic"), "labelled")
+    known = rows.select("doc_id", "toxic", "bands").collect()
+    kept = _one_of_copies([r["doc_id"] for r in known], [r["toxic"] for r in known], [r["bands"] for r in known])
+    kept = docs.sparkSession.createDataFrame([(i,) for i in kept], "doc_id long")
+    rows = rows.join(F.broadcast(kept), "doc_id").select("text", "toxic")
     size = {r["toxic"]: r["count"] for r in rows.groupBy("toxic").count().collect()}
     n1, n0 = size.get(1, 0), size.get(0, 0)
     if not n1 or not n0:
         return Model(())
     schema = "stem string, n long, word boolean"
     least = max(LEAST_DOCS, n1 // 1000)
-    toxic = rows.where("toxic = 1").select("text").mapInArrow(_count_stems(None), schema)
+    toxic = rows.where("toxic = 1").select("text").mapInArrow(trimmed(_count_stems(None)), schema)
     toxic = written(toxic.groupBy("stem").agg(F.sum("n").alias("n")), "stems")
     tried = toxic.count()
     found = toxic.where(F.col("n") >= least).orderBy(F.desc("n"), "stem").limit(20 * ENTRIES).collect()
     found = _closed({r["stem"]: r["n"] for r in found})
     spark = docs.sparkSession
     clean_rows = rows.where("toxic = 0").select("text")
-    clean = {r["stem"]: r["n"] for r in clean_rows.mapInArrow(_count_stems(spark.sparkContext.broadcast((set(found), set()))), schema).groupBy("stem").agg(F.sum("n").alias("n")).collect()}
+    clean = {r["stem"]: r["n"] for r in clean_rows.mapInArrow(trimmed(_count_stems(spark.sparkContext.broadcast((set(found), set())))), schema).groupBy("stem").agg(F.sum("n").alias("n")).collect()}
     share = lambda s: (found[s] / n1) / (found[s] / n1 + (clean.get(s, 0) + 0.5) / n0)
     kept: dict[str, float] = {}
     for s in sorted(found, key=lambda s: (len(s), s)):
@@ -254,12 +294,12 @@ def fit(docs: DataFrame, labels: DataFrame, trains: Column | None = None, doc_id
     kept = dict(sorted(kept.items(), key=lambda x: (-x[1], x[0]))[:ENTRIES])
     # whole words that start with a kept stem, by the documents of each class that hold them
     starts = _count_stems(spark.sparkContext.broadcast((set(), set(kept))))
-    per_word = lambda part: part.mapInArrow(starts, schema).where("word").groupBy("stem").agg(F.sum("n").alias("n"))
+    per_word = lambda part: part.mapInArrow(trimmed(starts), schema).where("word").groupBy("stem").agg(F.sum("n").alias("n"))
     in_toxic = per_word(rows.where("toxic = 1").select("text")).select("stem", F.col("n").alias("toxic"))
     words = per_word(clean_rows).join(in_toxic, "stem", "left").orderBy(F.desc("n"), "stem").limit(20 * ENTRIES).collect()
     harmless = [r["stem"] for r in words if _is_harmless(r["n"], r["toxic"] or 0, n0, n1, len(words))][:ENTRIES]
     model = Model(tuple(sorted(kept.items())), words=tuple(sorted(harmless)))
-    got = rows.mapInArrow(_weights(spark.sparkContext.broadcast(model)), "toxic int, weight double, words long").toPandas()
+    got = rows.mapInArrow(trimmed(_weights(spark.sparkContext.broadcast(model))), "toxic int, weight double, words long").toPandas()
     x = np.array([features(w, n) for w, n in zip(got["weight"], got["words"], strict=True)])
     return Model(model.lexicon, model.exceptions, logistic(x, got["toxic"].to_numpy(float)), model.words)
 
@@ -276,13 +316,18 @@ def _scores(model):
 
 
 def score(docs: DataFrame, model: Model, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """(doc_id, score) of every row, 0 to 1; null and empty texts score as texts without a match."""
+    """(doc_id, score) of every row, 0 to 1; null and empty texts score as texts without a match.
+
+    Null ids and repeated rows come back each; other columns, whatever their names, are not read; an empty table gives no rows.
+    """
+    small_batches(docs.sparkSession)
     rows = docs.select(docs[doc_id].cast("long").alias("doc_id"), docs[text].cast("string").alias("text"))
-    return rows.mapInArrow(_scores(docs.sparkSession.sparkContext.broadcast(model)), "doc_id long, score double")
+    return rows.mapInArrow(trimmed(_scores(docs.sparkSession.sparkContext.broadcast(model))), "doc_id long, score double")
 
 
 def keep_clean(docs: DataFrame, model: Model, least: float = 0.5, text: str = "text") -> DataFrame:
     """The rows of docs that score below least, with their columns, whatever their names."""
+    small_batches(docs.sparkSession)
     kept = docs.sparkSession.sparkContext.broadcast(model)
     at = docs.columns.index(text)
 
@@ -292,4 +337,4 @@ def keep_clean(docs: DataFrame, model: Model, least: float = 0.5, text: str = "t
             ok = [probability(kept.value, *matched(t.as_py() or "", a)) < least for t in batch.column(at)]
             yield batch.filter(pa.array(ok, pa.bool_()))
 
-    return docs.mapInArrow(run, docs.schema)
+    return docs.mapInArrow(trimmed(run), docs.schema)
