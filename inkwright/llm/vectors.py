@@ -4,8 +4,7 @@ from __future__ import annotations
 
 import heapq
 from collections.abc import Iterator
-from math import ceil, erf, log, sqrt
-from statistics import NormalDist
+from math import ceil, log, sqrt
 
 import numpy as np
 import pyarrow as pa
@@ -74,74 +73,71 @@ def distinct_vectors(rows: DataFrame, vec_id: str, vector: str, keep: int) -> tu
     return rows.drop("vector"), grouped.where(F.col("dim") == dim), dim
 
 
+#: Product codes; least cosine pairs at which calibrate a code, and how many of those may share no filter; most codewords of a block.
+CODES, PAIRS, MISSED, WORDS = 12, 500, 1, 4096
+
+
 class CapCode:
-    """A random product code on the sphere: a filter is one unit vector for each block of a rotated vector.
+    """Random product codes on the sphere: a filter is one unit vector for each block of a vector rotated for its code.
 
-    list(x) gives all filters c with <x, c> >= alpha. With n vectors, alpha is such that a filter
-    takes about bucket of them, and there are so many filters that two vectors at cosine least
-    are expected to share common ones.
+    list(x) gives all filters c of all codes with <x, c> >= alpha. There are about as many filters as would leave most of them
+    without two of n random vectors; alpha is the greatest at which of PAIRS random pairs at cosine least all but MISSED share a filter.
+    Codes of few blocks and several rotations keep lists about equally long: in one code of many blocks some vectors have hundreds of
+    filters and others none.
     """
 
-    def __init__(self, dim: int, n: int, least: float, common: float = 26.0, bucket: float = 32.0, seed: int = 11):
+    def __init__(self, dim: int, n: int, least: float, seed: int = 11):
         rng = np.random.Generator(np.random.PCG64(seed))
-        self.blocks = max(1, min(4, dim // 4))
-        self.rotation = np.linalg.qr(rng.standard_normal((dim, dim)))[0]
+        self.blocks = 1 if dim < 8 else 2 if 20 * n <= WORDS**2 or dim < 24 else 3
+        # in few dimensions one code of unstructured filters has lists about as long for all vectors
+        self.size = 64 * dim if self.blocks == 1 else max(8, min(WORDS, ceil(((2000 if self.blocks == 3 else 20) * n) ** (1 / self.blocks))))
         self.parts = np.array_split(np.arange(dim), self.blocks)
-        share = min(0.25, bucket / max(n, 1))
-        z = NormalDist().inv_cdf(1 - share)
-        # of the vectors at cosine least to one in a cap, the share that is in it too
-        xs = np.linspace(z, z + 6, 400)
-        weight = np.exp(-xs * xs / 2)
-        inside = np.array([0.5 * (1 - erf((z - least * x) / sqrt(1 - least * least) / sqrt(2))) for x in xs])
-        together = float((weight * inside).sum() / weight.sum())
-        filters = common / together / share
-        self.size = max(2, ceil(filters ** (1 / self.blocks)))
         self.codes = []
-        for p in self.parts:
-            c = rng.standard_normal((self.size, len(p)))
-            self.codes.append(c / np.linalg.norm(c, axis=1)[:, None])
-        self.least = z / sqrt(dim) * sqrt(self.blocks)
-        self._calibrate(rng, dim, least, common)
-
-    def _calibrate(self, rng: np.random.Generator, dim: int, least: float, common: float) -> None:
-        """Lowers alpha until random pairs at cosine least share common filters on average, as the normal law is only near in few dimensions."""
-        x = rng.standard_normal((256, dim))
+        for _ in range(CODES if self.blocks > 1 else 1):
+            rotation = np.linalg.qr(rng.standard_normal((dim, dim)))[0]
+            words = [rng.standard_normal((self.size, len(p))) for p in self.parts]
+            self.codes.append((rotation, [w / np.linalg.norm(w, axis=1)[:, None] for w in words]))
+        self.least = 0.0
+        self._calibrate(rng, dim, least)
+
+    def _calibrate(self, rng: np.random.Generator, dim: int, least: float) -> None:
+        x, y = rng.standard_normal((2, PAIRS, dim))
         x /= np.linalg.norm(x, axis=1)[:, None]
-        y = rng.standard_normal((256, dim))
         y -= (y * x).sum(1)[:, None] * x
-        y = least * x + sqrt(1 - least * least) * y / np.linalg.norm(y, axis=1)[:, None] if dim > 1 else x
-        shared = lambda: np.mean([len(np.intersect1d(a, b, assume_unique=True)) for a, b in zip(self.list(x), self.list(y), strict=True)])
-        high, self.least = self.least * 1.1, min(self.least * 1.1, sqrt(self.blocks))
-        low = high
-        while shared() < common and low > -2:
-            high, low = low, low - 0.1
-            self.least = low
-        for _ in range(6):
-            self.least = (low + high) / 2
-            if shared() < common:
-                high = self.least
-            else:
-                low = self.least
+        y = least * x + sqrt(max(0.0, 1 - least * least)) * y / np.linalg.norm(y, axis=1)[:, None] if dim > 1 else x
+        low, high = -sqrt(self.blocks), sqrt(self.blocks)
+        steps = np.linspace(high, low, 33)
+        for high, low in zip(steps[:-1], steps[1:], strict=True):  # from few filters to many, as long lists take long
+            if self._missed(x, y, low) <= MISSED:
+                break
+        for _ in range(4):
+            mid = (low + high) / 2
+            low, high = (mid, high) if self._missed(x, y, mid) <= MISSED else (low, mid)
         self.least = low
 
+    def _missed(self, x: np.ndarray, y: np.ndarray, least: float) -> int:
+        self.least = least
+        return sum(not np.intersect1d(a, b, assume_unique=True).size for a, b in zip(self.list(x), self.list(y), strict=True))
+
     def list(self, x: np.ndarray) -> list[np.ndarray]:
         """The ids of the filters of each row of x, ascending; branches that cannot reach alpha are cut first."""
-        y = x @ self.rotation
-        scores = [y[:, p] @ c.T for p, c in zip(self.parts, self.codes, strict=True)]
-        best = np.stack([s.max(1) for s in scores], 1)
-        total = best.sum(1)
-        out = []
-        for row in range(len(x)):
-            ids, sums, rest = np.zeros(1, np.int64), np.zeros(1), total[row]
-            for b, s in enumerate(scores):
-                rest -= best[row, b]
-                ok = np.flatnonzero(s[row] >= self.least - (total[row] - best[row, b]) - 1e-12)
-                sums_ = sums[:, None] + s[row][ok][None, :]
-                keep = sums_ >= self.least - rest
-                ids = (ids[:, None] * self.size + ok[None, :])[keep]
-                sums = sums_[keep]
-            out.append(np.sort(ids))
-        return out
+        found: list[list[np.ndarray]] = [[] for _ in x]
+        for at, (rotation, words) in enumerate(self.codes):
+            y = x @ rotation
+            scores = [y[:, p] @ c.T for p, c in zip(self.parts, words, strict=True)]
+            best = np.stack([s.max(1) for s in scores], 1)
+            total = best.sum(1)
+            for row in np.flatnonzero(total >= self.least).tolist():
+                ids, sums, rest = np.full(1, at, np.int64), np.zeros(1), total[row]
+                for b, s in enumerate(scores):
+                    rest -= best[row, b]
+                    ok = np.flatnonzero(s[row] >= self.least - (total[row] - best[row, b]) - 1e-12)
+                    sums_ = sums[:, None] + s[row][ok][None, :]
+                    keep = sums_ >= self.least - rest
+                    ids = (ids[:, None] * self.size + ok[None, :])[keep]
+                    sums = sums_[keep]
+                found[row].append(ids)
+        return [np.sort(np.concatenate(ids)) if ids else np.empty(0, np.int64) for ids in found]
 
 
 def _caps(code):
@@ -150,30 +146,14 @@ def _caps(code):
         for batch in batches:
             for k in range(0, len(batch), 256):
                 part = batch.slice(k, 256)
-                ids, n = part.column(0).to_numpy(), part.column(1).to_numpy()
                 x = part.column(2).flatten().to_numpy().reshape(len(part), -1)
                 x = x / np.sqrt((x * x).sum(1))[:, None]
                 scale = np.abs(x).max(1) / 32767
                 short = np.rint(x / scale[:, None]).astype(np.int16)
                 off = np.sqrt(((x - short * scale[:, None]) ** 2).sum(1)) + 1e-12
-                lists = c.list(x)
-                sizes = np.fromiter(map(len, lists), np.int64, len(lists))
-                if not sizes.sum():
-                    continue
-                who = np.repeat(np.arange(len(part)), sizes)
-                # with each filter go those below it, by which the first common one is known
-                lower = [own[:i] for own in lists for i in range(len(own))]
                 yield pa.RecordBatch.from_arrays(
-                    [
-                        pa.array(np.concatenate(lists)),
-                        pa.array(ids[who]),
-                        pa.array(n[who]),
-                        pa.array([short[i].tobytes() for i in who], pa.binary()),
-                        pa.array(scale[who]),
-                        pa.array(off[who]),
-                        _lists(lower, pa.int64()),
-                    ],
-                    ["cap", "id", "n", "short", "scale", "off", "lower"],
+                    [part.column(0), part.column(1), pa.array([v.tobytes() for v in short], pa.binary()), pa.array(scale), pa.array(off), _lists(c.list(x), pa.int64())],
+                    ["node", "n", "short", "scale", "off", "caps"],
                 )
 
     return run
@@ -229,14 +209,14 @@ def _may_link(group: pa.Table, i: int, j: int, least: float) -> tuple[np.ndarray
 
 
 def _hits(least: float):
-    """(cap, id) of the members of a tile that may have a link in it."""
+    """(cap, node) of the members of a tile that may have a link in it."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for (cap, i, j), group in _groups(batches, 3):
             if len(group) > 1:
                 who = np.flatnonzero(_may_link(group, i, j, least)[0].any(1))
                 if len(who):
-                    yield pa.RecordBatch.from_arrays([pa.array(np.full(len(who), cap)), pa.array(group["id"].to_numpy()[who])], ["cap", "id"])
+                    yield pa.RecordBatch.from_arrays([pa.array(np.full(len(who), cap)), pa.array(group["node"].to_numpy()[who])], ["cap", "node"])
 
     return run
 
@@ -249,19 +229,23 @@ def _links(least: float):
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for (_, i, j), group in _groups(batches, 3):
-            ids, n = group["id"].to_numpy(), group["n"].to_numpy()
+        for (cap, i, j), group in _groups(batches, 3):
+            ids, n = group["node"].to_numpy(), group["n"].to_numpy()
             if len(ids) < 2:
                 continue
             may, dots, slack = _may_link(group, i, j, least)
             who = np.flatnonzero(may.any(1))
             if not len(who):
                 continue
-            lower = group["lower"].combine_chunks()
-            ends, flat = lower.offsets.to_numpy(), lower.values.to_numpy()
-            _, codes = np.unique(np.concatenate([flat[ends[k] : ends[k + 1]] for k in who] or [flat[:0]]), return_inverse=True)
+            # filters below this one, by which the first common one is known
+            caps = group["caps"].combine_chunks()
+            caps = caps.chunk(0) if isinstance(caps, pa.ChunkedArray) else caps
+            ends, flat = caps.offsets.to_numpy(), caps.values.to_numpy()
+            lower = [flat[ends[k] : ends[k + 1]] for k in who]
+            lower = [own[: np.searchsorted(own, cap)] for own in lower]
+            _, codes = np.unique(np.concatenate(lower), return_inverse=True)
             seen = np.zeros((len(who), int(codes.max()) + 1 if len(codes) else 1), np.float32)
-            seen[np.repeat(np.arange(len(who)), (ends[1:] - ends[:-1])[who]), codes] = 1
+            seen[np.repeat(np.arange(len(who)), [len(own) for own in lower]), codes] = 1
             may = may[np.ix_(who, who)] & (seen @ seen.T < 0.5)
             sure = may & ((dots - slack)[np.ix_(who, who)] >= least)
             ids, n = ids[who], n[who]
@@ -288,22 +272,26 @@ def _cosines(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([*batch.columns[:4], pa.array(cos)], ["a", "b", "na", "nb", "cos"])
 
 
-def tiled(rows: DataFrame, key: str, id_: str) -> DataFrame:
-    """rows with (i, j, side): buckets of more than TILE rows are cut into parts, and every two parts meet in a tile."""
-    parts = rows.groupBy(key).agg(F.ceil(F.count("*") / TILE).cast("int").alias("parts"))
-    rows = rows.join(parts.where("parts > 1"), key, "left").withColumn("parts", F.coalesce("parts", F.lit(1)))
-    rows = rows.withColumn("side", F.pmod(F.xxhash64(id_), F.col("parts")).cast("int"))
+def tiled(rows: DataFrame, parts: DataFrame) -> DataFrame:
+    """rows(cap, node) with (i, j, side), by parts(cap, parts): buckets of more than TILE rows are cut into parts, and every two parts meet in a tile."""
+    rows = rows.join(F.broadcast(parts) if parts.count() <= BROADCAST_CAPS else parts, "cap")
+    rows = rows.withColumn("side", F.pmod(F.xxhash64("node"), F.col("parts")).cast("int"))
     rows = rows.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
     return rows.withColumns({"i": F.least("side", "other"), "j": F.greatest("side", "other")}).drop("parts", "other")
 
 
+#: Filters of more than one vector up to which their parts are broadcast (16 MB).
+BROADCAST_CAPS = 250_000
+
+
 def near_duplicates(rows: DataFrame, least: float = 0.95, vec_id: str = "vec_id", vector: str = "embedding") -> DataFrame:
     """(vec_id, n_links, component_id, kept) of every row: links are pairs with cosine >= least.
 
     Equal vectors are one node with a count. Unusable vectors (see distinct_vectors) have no links and
     are their own components; rows with a null id too, with a null component, not kept. Rows of one
-    id are vectors of their own. Vectors meet in the buckets of their spherical caps; vectors rounded
-    to 16 bits tell nearly all pairs from the threshold, the rest is verified in double precision.
+    id are vectors of their own. Vectors meet in the buckets of their spherical caps, of which those of one vector are
+    left out first; vectors rounded to 16 bits tell nearly all pairs from the threshold, the rest is verified in double
+    precision. Of pairs at the threshold about one in 500 shares no cap. An empty table gives no rows.
     """
     spark = rows.sparkSession
     every, nodes, dim = distinct_vectors(rows, vec_id, vector, 1)
@@ -311,17 +299,22 @@ def near_duplicates(rows: DataFrame, least: float = 0.95, vec_id: str = "vec_id"
     if not dim:
         return every.select("vec_id", F.lit(0).cast("long").alias("n_links"), F.col("vec_id").alias("component_id"), F.col("vec_id").isNotNull().alias("kept"))
     code = spark.sparkContext.broadcast(CapCode(dim, nodes.count(), least))
-    schema = "cap long, id long, n long, short binary, scale double, off double, lower array<long>"
     # a node is known by its hash, as equal ids may have different vectors
     known = nodes.select(F.col("hi").alias("node"), "n", "vector", "id")
-    caps = written(known.select("node", "n", "vector").repartition("node").mapInArrow(_caps(code), schema), "caps")
-    dealt = lambda rows, *more: (
-        tiled(rows, "cap", "id").select("cap", "i", "j", "side", "id", "short", "scale", "off", *more).repartition("cap", "i", "j").sortWithinPartitions("cap", "i", "j")
-    )
+    schema = "node long, n long, short binary, scale double, off double, caps array<long>"
+    lists = written(known.select("node", "n", "vector").repartition("node").mapInArrow(_caps(code), schema), "caps")
+    posts = lists.select("node", F.explode("caps").alias("cap"))
+    parts = posts.groupBy("cap").agg(F.count("*").alias("m")).where("m > 1")
+    parts = written(parts.select("cap", F.ceil(F.col("m") / TILE).cast("int").alias("parts")), "parts")
+
+    def dealt(posts: DataFrame, *more: str) -> DataFrame:
+        tiles = tiled(posts, parts).join(lists.select("node", "short", "scale", "off", *more), "node")
+        tiles = tiles.select("cap", "i", "j", "side", "node", "short", "scale", "off", *more)
+        return tiles.repartition("cap", "i", "j").sortWithinPartitions("cap", "i", "j")
+
     # most vectors have no link: only members that may have one meet again with what tells a pair's first common cap
-    hits = written(dealt(caps).mapInArrow(_hits(least), "cap long, id long").distinct(), "hits")
-    tiles = dealt(caps.join(hits, ["cap", "id"], "left_semi"), "n", "lower")
-    found = written(tiles.mapInArrow(_links(least), "a long, b long, n long, open int"), "links")
+    hits = written(dealt(posts).mapInArrow(_hits(least), "cap long, node long").distinct(), "hits")
+    found = written(dealt(hits, "n", "caps").mapInArrow(_links(least), "a long, b long, n long, open int"), "links")
     x, y = (known.select(F.col("node").alias(c), F.col("n").alias(f"n{c}"), F.col("vector").alias(f"v{c}")) for c in "ab")
     unsure = found.where("open = 1").select("a", "b").join(x, "a").join(y, "b").select("a", "b", "na", "nb", "va", "vb")
     exact = unsure.mapInArrow(_cosines, "a long, b long, na long, nb long, cos double").where(F.col("cos") >= least)
