@@ -332,14 +332,13 @@ def near_duplicates(rows: DataFrame, least: float = 0.95, vec_id: str = "vec_id"
     return out.withColumn("kept", F.coalesce(F.col("vec_id") == F.col("component_id"), F.lit(False)))
 
 
-#: Trees, and the depth they have at most; vectors of a leaf, from which the depth follows where they are few.
-TREES, DEPTH, LEAF = 10, 7, 80
-#: Vectors that trees are fitted on at most, those of least hash; every vector is indexed.
-SAMPLE = 20_000
-#: Rows of leaves that a query reads, as a multiple of all vectors; a vector in several trees counts each time.
-BUDGET = 0.9
-#: Rows of a leaf in a task at once; more than k results kept of each leaf, as rounded vectors rank them.
-PART, SPARE = 4096, 6
+#: Trees; about how many vectors the smallest leaves hold and the greatest depth; vectors that trees are fitted on at most, those
+#: of least hash (every vector is indexed), and how many of them calibrate the depth and how far queries search.
+TREES, LEAF, DEPTH, SAMPLE, CALIBRATION = 10, 400, 10, 20_000, 200
+#: Share of the nearest neighbours of the calibrating vectors that the search must come to.
+RECALL = 0.975
+#: Cost of bringing a query to a leaf, in products of two vectors; rows of a leaf in a task at once.
+VISIT, PART = 400, 4096
 
 
 class Forest:
@@ -349,26 +348,71 @@ class Forest:
     so that the largest inner product with a query is the least angle. A query walks all trees from one
     priority queue, at each step into the node likeliest to hold a near neighbour, given its distances to
     the splits above, until the leaves it has come to hold budget times all vectors.
+
+    The budget is what brings RECALL of the sample's own nearest neighbours: as many of them as the k nearest of n are in
+    the sample's share of all vectors. Where data has structure that is little and falls as n grows; vectors without any need most.
+    Of the depths that n allows the one of least cost is taken.
     """
 
-    def __init__(self, sample: np.ndarray, n: int, norm: float, budget: float = BUDGET, seed: int = 5):
+    def __init__(self, ids: np.ndarray, sample: np.ndarray, n: int, norm: float, k: int, seed: int = 5):
         rng = np.random.Generator(np.random.PCG64(seed))
-        self.norm, self.budget = norm, budget
-        self.depth = max(0, min(DEPTH, int(log(max(1, min(n, len(sample))) / LEAF, 2)) if n > LEAF else 0))
+        self.ids, self.sample, self.norm, self.k = ids, sample, norm, k
+        leaf = max(LEAF, 4 * k)
+        most = max(0, min(DEPTH, ceil(log(n / leaf, 2)), int(log(max(1, len(sample)) / 16, 2)))) if n > leaf else 0
         x = self.unit(sample)
-        nodes = (1 << self.depth) - 1
-        self.dirs = rng.standard_normal((TREES, nodes, x.shape[1]))
-        self.dirs /= np.linalg.norm(self.dirs, axis=2)[:, :, None]
-        self.cuts = np.zeros((TREES, nodes))
-        self.share = np.zeros((TREES, 1 << self.depth))
+        nodes = (1 << most) - 1
+        dirs = rng.standard_normal((TREES, nodes, x.shape[1]))
+        dirs /= np.linalg.norm(dirs, axis=2)[:, :, None]
+        cuts, own = np.zeros((TREES, nodes)), np.zeros((TREES, len(x)), np.int64)
         for t in range(TREES):
-            at = np.zeros(len(x), np.int64)
             for node in range(nodes):
-                own = np.flatnonzero(at == node)
-                p = x[own] @ self.dirs[t, node]
-                self.cuts[t, node] = np.median(p) if len(own) else 0.0
-                at[own] = 2 * node + 1 + (p > self.cuts[t, node])
-            self.share[t] = np.bincount(at - nodes, minlength=1 << self.depth) / max(1, len(x))
+                here = np.flatnonzero(own[t] == node)
+                p = x[here] @ dirs[t, node]
+                cuts[t, node] = np.median(p) if len(here) else 0.0
+                own[t, here] = 2 * node + 1 + (p > cuts[t, node])
+            own[t] -= nodes
+        tried = []
+        for depth in range(min(3, most), most + 1):
+            self._cut(depth, dirs, cuts, own >> (most - depth))
+            self.budget = float(TREES)
+            self.budget, leaves = self._needed((own >> (most - depth)) + (np.arange(TREES) << depth)[:, None], n)
+            tried.append((self.budget * n + VISIT * leaves, depth, self.budget))
+        _, depth, budget = min(tried)
+        self._cut(depth, dirs, cuts, own >> (most - depth))
+        self.budget = budget
+
+    def _cut(self, depth: int, dirs: np.ndarray, cuts: np.ndarray, leaves: np.ndarray) -> None:
+        """Trees of that depth, which are the tops of deeper ones."""
+        nodes = (1 << depth) - 1
+        self.depth, self.dirs, self.cuts = depth, dirs[:, :nodes], cuts[:, :nodes]
+        self.share = np.stack([np.bincount(own, minlength=1 << depth) for own in leaves]) / max(1, leaves.shape[1])
+
+    def _needed(self, leaves: np.ndarray, n: int) -> tuple[float, float]:
+        """The multiple of all vectors that queries must read for RECALL of the nearest neighbours in the sample, and the leaves that hold it."""
+        k = min(len(self.sample) - 1, max(1, round(self.k * len(self.sample) / n)))
+        if self.depth == 0 or k < 1:
+            return 1.0, 1.0
+        asks = np.arange(min(CALIBRATION, len(self.sample)))
+        scores = self.sample[asks] @ self.sample.T
+        scores[asks, asks] = -np.inf
+        near = np.argpartition(-scores, k - 1, axis=1)[:, :k]
+        needed, reads = [], []
+        for own, got in zip(near, self.visits(self.sample[asks]), strict=True):
+            read = np.full(self.share.size, float(TREES))
+            read[got] = np.cumsum(self.share.reshape(-1)[got])
+            needed.append(read[leaves[:, own]].min(0))
+            reads.append(np.sort(read))
+        budget = float(np.quantile(np.concatenate(needed), RECALL, method="higher"))
+        return budget, float(np.mean([np.searchsorted(r, budget) + 1 for r in reads]))
+
+    def bounds(self, ids: np.ndarray, q: np.ndarray) -> np.ndarray:
+        """For each query a score that its k-th nearest has at least: the sample's k-th, less what rounding may add."""
+        if len(self.sample) <= self.k:
+            return np.full(len(q), -np.inf)
+        scores = q @ self.sample.T
+        scores[ids[:, None] == self.ids[None, :]] = -np.inf
+        kth = np.partition(scores, len(self.sample) - self.k, axis=1)[:, len(self.sample) - self.k]
+        return kth - 1e-14 * q.shape[1] * self.norm * np.sqrt((q * q).sum(1))
 
     def unit(self, x: np.ndarray) -> np.ndarray:
         x = x / self.norm
@@ -386,11 +430,11 @@ class Forest:
         return out
 
     def visits(self, q: np.ndarray) -> list[list[int]]:
-        """The leaves that each query row comes to."""
+        """The leaves that each query row comes to, in that order."""
         q = np.column_stack([q / np.sqrt((q * q).sum(1))[:, None], np.zeros(len(q))])
         inner = (1 << self.depth) - 1
         # how many deviations right of the cut; a near neighbour shares about half of them
-        far = (np.einsum("qd,tnd->qtn", q, self.dirs) - self.cuts[None]) * sqrt(q.shape[1]) * 0.55 * 1.702
+        far = (np.tensordot(q, self.dirs, (1, 2)) - self.cuts[None]) * sqrt(q.shape[1]) * 0.55 * 1.702
         right, left = -np.logaddexp(0, -far), -np.logaddexp(0, far)
         out = []
         for r, l in zip(right.tolist(), left.tolist(), strict=True):
@@ -407,11 +451,45 @@ class Forest:
         return out
 
 
+def _of_sample(forest):
+    """The k best of the sample for each query, so that with the others that reach its bound it has k, or all there are."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        f = forest.value
+        for batch in batches:
+            for r in range(0, len(batch), 512):
+                part = batch.slice(r, 512)
+                q, own = _matrix(part.column(1), len(part)), part.column(0).to_numpy()
+                yield _rows_of_best(f.k, own, q, f.ids, f.sample, f.bounds(own, q))
+
+    return run
+
+
+def _rows_of_best(k: int, own: np.ndarray, q: np.ndarray, ids: np.ndarray, x: np.ndarray, bounds: np.ndarray) -> pa.RecordBatch:
+    """(query_id, vec_id, score): the k best rows of x for each query, ties to least ids, but none below its bound.
+
+    All products are in double precision. Those of a matrix product, whose rounding depends on places, only tell which are
+    computed again, one by one: the k best and all within rounding of the k-th.
+    """
+    scores = q @ x.T
+    scores[own[:, None] == ids[None, :]] = -np.inf
+    least = bounds
+    if len(ids) > k:
+        least = np.maximum(least, np.partition(scores, len(ids) - k, axis=1)[:, len(ids) - k])
+    slack = 2e-15 * x.shape[1] * float(np.sqrt((x * x).sum(1)).max()) * np.sqrt((q * q).sum(1))
+    row, col = np.nonzero((scores >= (least - slack)[:, None]) & (scores > -np.inf))
+    exact = (x[col] * q[row]).sum(1)
+    order = np.lexsort((ids[col], -exact, row))
+    row, col, exact = row[order], col[order], exact[order]
+    first = np.arange(len(row)) - np.searchsorted(row, row) < k
+    return pa.RecordBatch.from_arrays([pa.array(own[row[first]]), pa.array(ids[col[first]]), pa.array(exact[first])], ["query_id", "vec_id", "score"])
+
+
 def _matrix(column: pa.Array, rows: int) -> np.ndarray:
     return column.flatten().to_numpy().reshape(rows, -1)
 
 
-def _placed(forest, visits: bool):
+def _placed(forest, visits: bool, kind: str):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         f = forest.value
         for batch in batches:
@@ -419,29 +497,31 @@ def _placed(forest, visits: bool):
                 part = batch.slice(k, 512)
                 x, ids = _matrix(part.column(1), len(part)), part.column(0).to_numpy()
                 lists = f.visits(x) if visits else f.leaves(x).tolist()
+                bound = f.bounds(ids, x) if visits else np.zeros(len(x))
                 who = np.repeat(np.arange(len(part)), [len(v) for v in lists])
-                short = [v.tobytes() for v in x.astype(np.float32)]
+                own = [v.tobytes() for v in x.astype(kind)]
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array([v for own in lists for v in own], pa.int64()), pa.array(ids[who]), pa.array([short[i] for i in who], pa.binary())],
-                    ["leaf", "id", "short"],
+                    [pa.array([v for got in lists for v in got], pa.int64()), pa.array(ids[who]), pa.array([own[i] for i in who], pa.binary()), pa.array(bound[who])],
+                    ["leaf", "id", "own", "bound"],
                 )
 
     return run
 
 
-def _best(k: int):
-    """Rows of a leaf's part, vectors before queries: the k best of the part for each query, ties to least ids."""
+def _best(k: int, kind: str):
+    """Rows of a leaf's part, vectors before queries: what _rows_of_best gives of all vectors of the part."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         key, held, ids, x = None, [], None, None
         for batch in batches:
             cols = [batch.column(i).to_numpy() for i in range(4)]
+            bounds = batch.column(5).to_numpy()
             change = np.flatnonzero(np.any([c[1:] != c[:-1] for c in cols[:3]], axis=0)) + 1
             for a, b in zip([0, *change.tolist()], [*change.tolist(), len(batch)], strict=True):
                 if a == b:
                     continue
                 at, role = (cols[0][a], cols[1][a]), cols[2][a]
-                v = np.frombuffer(b"".join(batch.column(4).slice(a, b - a).to_pylist()), np.float32).reshape(b - a, -1)
+                v = np.frombuffer(b"".join(batch.column(4).slice(a, b - a).to_pylist()), kind).reshape(b - a, -1).astype(np.float64)
                 own = cols[3][a:b]
                 if at != key:
                     key, held, x = at, [], None
@@ -451,44 +531,24 @@ def _best(k: int):
                 if not held:
                     continue
                 if x is None:
-                    ids = np.concatenate([i for i, _ in held])
-                    order = np.argsort(ids, kind="stable")
-                    ids, x = ids[order], np.concatenate([m for _, m in held])[order]
-                q_out, v_out, s_out = [], [], []
+                    ids, x = np.concatenate([i for i, _ in held]), np.concatenate([m for _, m in held])
                 for r in range(0, len(own), 256):
-                    scores = v[r : r + 256] @ x.T
-                    scores[own[r : r + 256, None] == ids[None, :]] = -np.inf
-                    least = np.partition(scores, len(ids) - k, axis=1)[:, len(ids) - k] if len(ids) > k else np.full(len(scores), -np.inf)
-                    for i in range(len(scores)):
-                        good = np.flatnonzero((scores[i] >= least[i]) & (scores[i] > -np.inf))
-                        good = good[np.argsort(-scores[i][good], kind="stable")[:k]]
-                        q_out.append(np.full(len(good), own[r + i]))
-                        v_out.append(ids[good])
-                        s_out.append(scores[i][good])
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(np.concatenate(q_out)), pa.array(np.concatenate(v_out)), pa.array(np.concatenate(s_out).astype(np.float32))], ["query_id", "vec_id", "near"]
-                )
+                    yield _rows_of_best(k, own[r : r + 256], v[r : r + 256], ids, x, bounds[a:b][r : r + 256])
 
     return run
 
 
-def _products(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        if len(batch):
-            x, y = _matrix(batch.column(2), len(batch)), _matrix(batch.column(3), len(batch))
-            yield pa.RecordBatch.from_arrays([*batch.columns[:2], pa.array((x * y).sum(1))], ["query_id", "vec_id", "score"])
-
-
-def nearest(rows: DataFrame, queries: str, k: int = 20, vec_id: str = "vec_id", vector: str = "embedding", budget: float = BUDGET) -> DataFrame:
+def nearest(rows: DataFrame, queries: str, k: int = 20, vec_id: str = "vec_id", vector: str = "embedding") -> DataFrame:
     """(query_id, rank, vec_id, score): the k rows of largest inner product found for each row that the SQL condition on vec_id picks.
 
     Every row is a candidate but the query's own id; ranks run from 1, ties to smaller ids; fewer
     candidates than k come back all. Unusable vectors (see distinct_vectors) and null ids take no part. Of
     equal vectors only the k + 1 least ids can be among a query's k nearest, so others aren't indexed.
-    Rounded vectors choose k + SPARE of each leaf; scores and ranks are of the original vectors in
-    double precision. Rows of one id and vector count once.
+    Every vector in the leaves that a query comes to is ranked by its original components in double
+    precision. Rows of one id and vector count once. An empty table gives no rows.
     """
     spark = rows.sparkSession
+    kind = "<f4" if rows.schema[vector].dataType.simpleString() == "array<float>" else "<f8"
     rows = rows.select(rows[vec_id].cast("long").alias("vec_id"), rows[vector].cast("array<double>").alias("v"))
     rows = rows.where("vec_id is not null").mapInArrow(_usable, "vec_id long, hi long, lo long, dim int, vector array<double>").where("dim > 0")
     rows = written(rows, "vectors")
@@ -500,25 +560,22 @@ def nearest(rows: DataFrame, queries: str, k: int = 20, vec_id: str = "vec_id",
     own = own.withColumn("r", first("hi", "lo")).where(F.col("r") <= k + 1).select("hi", "lo", "vec_id")
     index = written(rows.select("hi", "lo", "vec_id", "vector").join(own, ["hi", "lo", "vec_id"], "left_semi").dropDuplicates(["hi", "lo", "vec_id"]).select("vec_id", "vector"), "index")
     asks = rows.where(queries).dropDuplicates(["vec_id", "hi", "lo"]).select("vec_id", "vector")
-    schema = "query_id long, rank int, vec_id long, score double"
     square = F.aggregate("vector", F.lit(0.0), lambda a, x: a + x * x)
     size = index.agg(F.count("*").alias("n"), F.max(square).alias("m")).first()
     if not size["n"]:
-        return spark.createDataFrame([], schema)
-    sample = index.orderBy(F.xxhash64("vec_id"), "vec_id").limit(SAMPLE).select("vector").toPandas()["vector"]
-    forest = spark.sparkContext.broadcast(Forest(np.stack(sample.to_list()), size["n"], sqrt(size["m"]), budget))
-    placed = written(index.repartition("vec_id").mapInArrow(_placed(forest, False), "leaf long, id long, short binary"), "leaves")
+        return spark.createDataFrame([], "query_id long, rank int, vec_id long, score double")
+    sample = index.orderBy(F.xxhash64("vec_id"), "vec_id").limit(SAMPLE).toPandas()
+    forest = spark.sparkContext.broadcast(Forest(sample["vec_id"].to_numpy(np.int64), np.stack(sample["vector"].to_list()), size["n"], sqrt(size["m"]), k))
+    schema = "leaf long, id long, own binary, bound double"
+    placed = written(index.repartition("vec_id").mapInArrow(_placed(forest, False, kind), schema), "leaves")
     # one row per leaf, TREES * 2 ** DEPTH at most
     parts = F.broadcast(placed.groupBy("leaf").agg(F.ceil(F.count("*") / PART).cast("int").alias("parts")))
-    members = placed.join(parts, "leaf").select("leaf", F.pmod(F.xxhash64("id"), F.col("parts")).cast("int").alias("part"), F.lit(0).alias("role"), "id", "short")
-    visits = asks.repartition("vec_id").mapInArrow(_placed(forest, True), "leaf long, id long, short binary").join(parts, "leaf")
-    visits = visits.select("leaf", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part"), F.lit(1).alias("role"), "id", "short")
+    members = placed.join(parts, "leaf").select("leaf", F.pmod(F.xxhash64("id"), F.col("parts")).cast("int").alias("part"), F.lit(0).alias("role"), "id", "own", "bound")
+    visits = asks.repartition("vec_id").mapInArrow(_placed(forest, True, kind), schema).join(parts, "leaf")
+    visits = visits.select("leaf", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part"), F.lit(1).alias("role"), "id", "own", "bound")
     meet = members.unionByName(visits).repartition("leaf", "part").sortWithinPartitions("leaf", "part", "role")
-    near = meet.mapInArrow(_best(k + SPARE), "query_id long, vec_id long, near float")
-    near = near.groupBy("query_id", "vec_id").agg(F.max("near").alias("near"))
-    ranked = lambda by, *then: F.row_number().over(Window.partitionBy("query_id").orderBy(F.desc(by), *then))
-    near = near.withColumn("r", ranked("near", "vec_id")).where(F.col("r") <= k + SPARE).select("query_id", "vec_id")
-    q = asks.select(F.col("vec_id").alias("query_id"), F.col("vector").alias("q"))
-    pairs = near.join(q, "query_id").join(index, "vec_id").select("query_id", "vec_id", "q", "vector")
-    scored = pairs.mapInArrow(_products, "query_id long, vec_id long, score double").groupBy("query_id", "vec_id").agg(F.max("score").alias("score"))
-    return scored.withColumn("rank", ranked("score", "vec_id")).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
+    found = "query_id long, vec_id long, score double"
+    near = meet.mapInArrow(_best(k, kind), found).union(asks.repartition("vec_id").mapInArrow(_of_sample(forest), found))
+    scored = near.groupBy("query_id", "vec_id").agg(F.max("score").alias("score"))
+    rank = F.row_number().over(Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id"))
+    return scored.withColumn("rank", rank).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
