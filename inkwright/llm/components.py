@@ -45,3 +45,16 @@ def connected_components(edges: DataFrame) -> DataFrame:
             "edges",
         )
     return edges.select(F.col("a").alias("node"), F.col("b").alias("component")) if labels is None else labels
+
+
+def merged_components(parts: DataFrame, edges: DataFrame) -> DataFrame:
+    """connected_components of the edges that gave parts(node, component) and of edges(a, b) together."""
+    ends = [parts.select(F.col("node").alias(c), F.col("component").alias(f"{c}_part")) for c in "ab"]
+    between = edges.join(ends[0], "a", "left").join(ends[1], "b", "left")
+    between = written(between.select("a", "b", F.coalesce("a_part", "a").alias("a_part"), F.coalesce("b_part", "b").alias("b_part")), "between")
+    more = connected_components(between.select(F.col("a_part").alias("a"), F.col("b_part").alias("b")))
+    new = between.select(F.col("a").alias("node"), F.col("a_part").alias("component")).union(between.select("b", "b_part"))
+    known = parts.union(new.where("node = component").distinct())  # a node that parts has is its own component only if parts says so
+    known = known.dropDuplicates(["node"])
+    further = more.select(F.col("node").alias("component"), F.col("component").alias("least"))
+    return known.join(further, "component", "left").select("node", F.coalesce("least", "component").alias("component"))
