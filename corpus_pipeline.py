@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from inkwright.llm import toxicity
-from inkwright.llm.jaccard import BROADCAST_IDS, jaccard_components
+from inkwright.llm.jaccard import BROADCAST_IDS, class_of_rows
 from inkwright.llm.packing import pack
 from inkwright.llm.secrets import redact
 from inkwright.llm.store import written
@@ -28,14 +28,30 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group linked by Jaccard of 0.8 or more on shingles of five words: the least doc_id.
+    """One row of each group linked by Jaccard of 0.8 or more on shingles of five words: of least doc_id, then of least text hash.
 
-    Rows without shingles or doc_id are kept; of rows with one doc_id in a group all are.
+    Rows are documents of their own, also where they share an id. Rows without shingles or doc_id are all kept;
+    of rows with one id and equal texts any one is.
     """
-    groups = jaccard_components(docs, k=5, num=80, den=100)
-    gone = written(groups.where("doc_id <> component_id").select("doc_id").distinct(), "gone")
-    gone = F.broadcast(gone) if gone.count() <= BROADCAST_IDS else gone
-    return docs.join(gone, "doc_id", "left_anti").select(docs.columns)
+    rows = written(class_of_rows(docs, k=5, num=80, den=100), "rows").where("class is not null")
+    least = rows.where("doc_id = component_id").groupBy("class").agg(F.min("text_hash").alias("keeper"), F.count("*").alias("times"))
+    # classes whose least id has several rows; there are none where ids are keys
+    several = written(least.where("times > 1").drop("times"), "several")
+    found = rows.where("doc_id <> component_id")
+    if not several.isEmpty():
+        found = found.unionByName(rows.where("doc_id = component_id").join(several, "class").where("text_hash <> keeper").drop("keeper"))
+    gone = written(found.select(F.col("doc_id").alias("gone_id"), F.col("text_hash").alias("gone_hash")).distinct(), "gone")
+
+    def of(found: DataFrame, how: str, rows: DataFrame) -> DataFrame:
+        found = F.broadcast(found) if found.count() <= BROADCAST_IDS else found
+        return rows.join(found, (docs["doc_id"].cast("long") == found["gone_id"]) & (F.xxhash64(docs["text"]) == found["gone_hash"]), how)
+
+    kept = of(gone, "left_anti", docs)
+    if several.isEmpty():
+        return kept
+    again = rows.where("doc_id = component_id").join(several, "class").where("text_hash = keeper")
+    again = written(again.select(F.col("doc_id").alias("gone_id"), F.col("text_hash").alias("gone_hash")).distinct(), "again")
+    return of(again, "left_anti", kept).unionByName(of(again, "left_semi", kept).dropDuplicates(["doc_id", "text"]))
 
 
 def redact_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
