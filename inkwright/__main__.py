@@ -7,7 +7,7 @@ import sys
 
 from pyspark.sql import functions as F
 
-from inkwright.functions.text import HAN, LATIN
+from inkwright.functions.text import HAN, LATIN, word_entry
 from inkwright.operators import charset, corpus, evals, qa
 from inkwright.plans import build, planner
 from inkwright.session import session
@@ -50,8 +50,8 @@ def main(argv: list[str] | None = None) -> int:
         none = spark.createDataFrame([], "ch string")
         pairs = spark.read.parquet(args.pairs)
         forced = pairs.select(F.col("target").alias("ch"), F.lit(3).alias("ord"), F.lit("pair").alias("tag"))
-        own = charset.derive(freq, readers.char_lines(spark, args.standard), none, none, forced, args.min_freq)
-        words = docs.select("source", F.explode(F.split("text", r"\s+", -1)).alias("text")).where(F.length("text").between(*preset.word)).distinct()
+        own = charset.derive(freq, readers.char_lines(spark, args.standard, preset=preset), none, none, forced, args.min_freq)
+        words = docs.select("source", F.explode(F.split("text", r"\s+", -1)).alias("text")).where(word_entry(F.col("text"), preset)).distinct()
         sizes = planner.scaled(planner.TIERS, args.total) if args.total else planner.TIERS
         plan = build.build_plan(own, words, sentences, pairs, spark.read.parquet(args.fonts), sizes, args.seed)
         if args.plan_only:
@@ -60,11 +60,15 @@ def main(argv: list[str] | None = None) -> int:
         else:
             plan.write.parquet(args.out)
     elif args.command == "score":
-        mode = "overwrite" if args.no_resume else "append"
-        evals.scored(spark.read.parquet(args.predictions)).write.mode(mode).parquet(args.out)
+        rows = spark.read.parquet(args.predictions)
+        if not args.no_resume and readers.exists(spark, args.out):
+            done = spark.read.parquet(args.out).select("model", "file").distinct()
+            rows = rows.join(done, ["model", "file"], "left_anti")
+        evals.scored(rows).write.mode("overwrite" if args.no_resume else "append").parquet(args.out)
     elif args.command == "report":
-        rows = evals.with_errors(spark.read.parquet(args.scores).withColumn("error", F.lit(None).cast("string")), args.with_errors)
-        evals.report(rows).orderBy("model", "tier").show(200, False)
+        rows = spark.read.parquet(args.scores)
+        rows = rows if "error" in rows.columns else rows.withColumn("error", F.lit(None).cast("string"))
+        evals.report(evals.with_errors(rows, args.with_errors)).orderBy("model", "tier").show(200, False)
     else:
         faults = qa.pairing(readers.listing(spark, args.images), readers.jsonl(spark, args.metadata, "file string, text string"), readers.label_lines(spark, args.labels))
         faults.show(20, False)

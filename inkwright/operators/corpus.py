@@ -44,13 +44,17 @@ def capped(articles: DataFrame, ord_: str, max_articles: int, found: DataFrame,
 
 
 def char_frequency(rows: DataFrame, text: str = "text", keep: Column | None = None, preset: Preset | None = None, by: list[str] | None = None) -> DataFrame:
-    """(by..., ch, freq) over all characters of text."""
-    out = rows.select(*(by or []), F.explode(chars(F.col(text))).alias("ch"))
+    """(by..., ch, freq) over all characters of text; null and empty texts have none.
+
+    Words, each with the space after it, are counted first, so that characters are told apart once per different word.
+    """
+    words = rows.select(*(by or []), F.explode(F.split(F.col(text), "(?<= )", -1)).alias("_word")).groupBy(*(by or []), "_word").agg(F.count("*").alias("_times"))
+    out = words.select(*(by or []), "_times", F.explode(chars(F.col("_word"))).alias("ch"))
     if preset is not None:
         out = out.where(is_letter(F.col("ch"), preset))
     if keep is not None:
         out = out.where(keep)
-    return out.groupBy(*(by or []), "ch").agg(F.count("*").alias("freq"))
+    return out.groupBy(*(by or []), "ch").agg(F.sum("_times").alias("freq"))
 
 
 def heaviest(rows: DataFrame, key: str, weight: str, order: str, *more: str) -> DataFrame:

@@ -52,11 +52,9 @@ def summary(rows: DataFrame, by: list[str], where: Column | None = None, digits:
 
 def report(rows: DataFrame, tier: str = "tier", digits: int = 6) -> DataFrame:
     """(model, tier, n, means) for each tier, and over all as tier "all", in one pass by grouping sets."""
-    rows.createOrReplaceTempView("_eval_report")
-    means = ", ".join(f"bround(avg({m}), {digits}) as {m}" for m in MEANS)
-    return rows.sparkSession.sql(
-        f"select model, if(grouping({tier}) = 1, 'all', {tier}) as tier, count(*) as n, {means} from _eval_report group by grouping sets ((model), (model, {tier}))"
-    )
+    means = [F.bround(F.avg(m), digits).alias(m) for m in MEANS]
+    sets = rows.groupingSets([["model"], ["model", tier]], "model", tier).agg(F.grouping(tier).alias("_all"), F.count("*").alias("n"), *means)
+    return sets.select("model", F.when(F.col("_all") == 1, "all").otherwise(F.col(tier)).alias("tier"), "n", *MEANS)
 
 
 def with_metadata(rows: DataFrame, metadata: DataFrame, columns: list[str], key: str = "file") -> DataFrame:

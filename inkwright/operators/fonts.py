@@ -27,9 +27,18 @@ def unrenderable(texts: DataFrame, cmap: DataFrame, text: str = "text") -> DataF
 
 
 def missing(rows: DataFrame, fonts: DataFrame, text: str = "text", key: str = "font_key") -> DataFrame:
-    """rows of known fonts, fonts being (font_key, cmap array<int>), with the characters that are missing, in order, repeats kept."""
-    lost = F.filter(chars(F.col(text)), lambda c: ~F.array_contains(F.col("cmap"), F.ascii(c)))
-    return rows.join(fonts.select(key, "cmap"), key).withColumn("missing", F.array_join(lost, "")).drop("cmap")
+    """rows of known fonts, fonts being (font_key, cmap array<int>), with the characters that are missing, in order, repeats kept.
+
+    Each text's different characters meet the fonts' code points in an anti-join; no cmap is searched. Null texts miss nothing.
+    """
+    known = fonts.select(key).distinct()
+    points = fonts.select(F.col(key).alias("_font"), F.explode("cmap").alias("_cp")).distinct()
+    used = rows.join(known, key, "left_semi").select(F.col(text).alias("_text"), F.col(key).alias("_font")).distinct()
+    used = used.select("_text", "_font", F.explode(F.array_distinct(chars(F.col("_text")))).alias("_ch")).withColumn("_cp", F.ascii("_ch"))
+    lost = used.join(points, ["_font", "_cp"], "left_anti").groupBy("_text", "_font").agg(F.collect_list("_ch").alias("_lost"))
+    out = rows.join(known, key, "left_semi").join(lost, (F.col(text) == F.col("_text")) & (F.col(key) == F.col("_font")), "left")
+    named = F.array_join(F.filter(chars(F.col(text)), lambda c: F.array_contains(F.col("_lost"), c)), "")
+    return out.withColumn("missing", F.coalesce(named, F.lit(""))).drop("_text", "_font", "_lost")
 
 
 def probe_coverage(cmap: DataFrame, probe: list[int], by: str = "font_key") -> DataFrame:

@@ -52,10 +52,10 @@ def resized(a: np.ndarray, height: int = 48, least_width: int = 8) -> np.ndarray
 
 
 def color_contrast(a: np.ndarray, rng: np.random.Generator, bounds: tuple[float, float]) -> np.ndarray:
-    """Contrast about mid-grey, then brightness of up to 18 levels, then gains of channels in two rows of five."""
+    """Contrast about mid-grey, then brightness of up to 18 levels, then gains of channels of up to 6 % about mid-grey in two rows of five."""
     out = (a.astype(np.float64) - 128) * rng.uniform(*bounds) + 128 + rng.uniform(-18, 18)
     if out.ndim == 3 and rng.random() < 0.4:
-        out *= rng.uniform(0.9, 1.1, out.shape[2])
+        out = (out - 128) * rng.uniform(0.94, 1.06, out.shape[2]) + 128
     return np.clip(out, 0, 255).astype(np.uint8)
 
 

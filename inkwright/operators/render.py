@@ -78,19 +78,30 @@ def stroke(a: np.ndarray, rng: np.random.Generator, amount: float) -> np.ndarray
     return out
 
 
+def homography(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """The eight numbers of the projective map that takes four points a to b; the ninth is 1."""
+    rows, right = [], []
+    for (x, y), (u, v) in zip(a, b, strict=True):
+        rows += [[x, y, 1, 0, 0, 0, -x * u, -y * u], [0, 0, 0, x, y, 1, -x * v, -y * v]]
+        right += [u, v]
+    return np.linalg.lstsq(np.array(rows, float), np.array(right, float), rcond=None)[0]
+
+
 def field(h: int, w: int, rng: np.random.Generator, elastic: float, persp: float, degrees: float) -> tuple[np.ndarray, np.ndarray]:
     """Where each pixel comes from: a smooth random field of the strength, corners moved apart and a turn, summed up."""
     y, x = np.mgrid[0:h, 0:w].astype(float)
-    u, v = x / max(1, w - 1), y / max(1, h - 1)
     dy, dx = np.zeros((h, w)), np.zeros((h, w))
     if elastic > 0:
         for d in (dx, dy):
             soft = I.blurred(rng.uniform(-1, 1, (h, w)), max(4.0, min(h, w) / 8))
             d += soft * (elastic / max(1e-6, np.abs(soft).max()))
     if persp > 0:
-        for d, size in ((dx, w), (dy, h)):
-            c = rng.uniform(-size * persp, size * persp, 4)
-            d += c[0] * (1 - u) * (1 - v) + c[1] * u * (1 - v) + c[2] * u * v + c[3] * (1 - u) * v
+        corners = np.array([(0, 0), (w - 1, 0), (w - 1, h - 1), (0, h - 1)], float)
+        moved = corners + rng.uniform(-1, 1, (4, 2)) * (w * persp, h * persp)
+        p = homography(corners, moved)
+        z = p[6] * x + p[7] * y + 1
+        dx += (p[0] * x + p[1] * y + p[2]) / z - x
+        dy += (p[3] * x + p[4] * y + p[5]) / z - y
     angle = np.deg2rad(rng.uniform(-degrees, degrees)) if degrees > 0 else 0.0
     if abs(angle) >= np.deg2rad(0.05):
         cy, cx = y - h / 2, x - w / 2

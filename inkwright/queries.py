@@ -179,15 +179,17 @@ def symmetric_file_diff(spark, sf):
 
 
 @query(
-    """with m as (select doc_id::varchar as file, lang as text from documents where doc_id % 7 <> 0), l as (select doc_id::varchar as file, case when doc_id % 11 = 0 then 'x' else lang end as text from documents where doc_id % 5 <> 0),
-    d as (select doc_id::varchar as file from documents where doc_id % 3 <> 0)
+    """with m as (select doc_id::varchar as file, max(quality)::varchar as text from labels where doc_id is not null group by doc_id), l as (select conv_id::varchar as file, min(turn)::varchar as text from conversations where conv_id is not null group by conv_id),
+    d as (select distinct doc_id::varchar as file from documents where doc_id is not null)
     select file, on_disk, in_metadata, in_labels, in_metadata and in_labels and mt is distinct from lt as mismatch from (select coalesce(d.file, m.file, l.file) as file, d.file is not null as on_disk, m.file is not null as in_metadata, l.file is not null as in_labels, m.text as mt, l.text as lt
       from d full join m on d.file = m.file full join l on l.file = coalesce(d.file, m.file)) where not (on_disk and in_metadata and in_labels) or (in_metadata and in_labels and mt is distinct from lt)"""
 )
 def pairing_check(spark, sf):
-    docs = table(spark, sf, "documents").select("doc_id", F.col("doc_id").cast("string").alias("file"), F.col("lang").alias("text"))
-    labels = docs.where("doc_id % 5 <> 0").withColumn("text", F.when(F.col("doc_id") % 11 == 0, "x").otherwise(F.col("text")))
-    return qa.pairing(docs.where("doc_id % 3 <> 0"), docs.where("doc_id % 7 <> 0"), labels)
+    """Documents as files, labels as metadata and conversations as labels: three sets of ids that differ by themselves."""
+    of = lambda name, key: table(spark, sf, name).where(F.col(key).isNotNull()).groupBy(F.col(key).cast("string").alias("file"))
+    disk = table(spark, sf, "documents").where("doc_id is not null").select(F.col("doc_id").cast("string").alias("file"))
+    metadata = of("labels", "doc_id").agg(F.max("quality").cast("string").alias("text"))
+    return qa.pairing(disk, metadata, of("conversations", "conv_id").agg(F.min("turn").cast("string").alias("text")))
 
 
 @query(
@@ -254,11 +256,11 @@ def unrenderable(spark, sf):
 
 @query(
     f"""with {_WORDS}, f(font_key, lo, hi) as (values {_FONT_VALUES}) select w as text, font_key, array_to_string(list_filter(string_split(w, ''), lambda c: unicode(c) < lo or unicode(c) > hi), '') as missing from words, f
-    where font_key in ('plain', 'capital') and w <> ''"""
+    where w <> ''"""
 )
 def missing_glyphs(spark, sf):
-    maps = values(spark, [(k, list(range(a, b + 1))) for k, (a, b) in FONTS.items() if k in ("plain", "capital")], "font_key string, cmap array<int>")
-    rows = _words(spark, sf).withColumn("font_key", F.explode(F.array(F.lit("plain"), F.lit("capital"))))
+    maps = values(spark, [(k, list(range(a, b + 1))) for k, (a, b) in FONTS.items()], "font_key string, cmap array<int>")
+    rows = _words(spark, sf).withColumn("font_key", F.explode(F.array(*map(F.lit, FONTS))))
     return fonts.missing(rows, maps).select("text", "font_key", "missing")
 
 
@@ -308,9 +310,9 @@ def score_rows(spark, sf):
     return _scored(spark, sf).select("model", "file", "edit_distance", "cer", "cer_clipped", "acc", "ned_sim", "f1")
 
 
-@query(f"with {_SCORED} select model, file, f1 from scored where model = 'm_cut'")
+@query(f"with {_SCORED} select model, file, f1 from scored")
 def f1_multiset(spark, sf):
-    return _scored(spark, sf).where("model = 'm_cut'").select("model", "file", "f1")
+    return _scored(spark, sf).select("model", "file", "f1")
 
 
 _MEANS_SQL = ", ".join(f"round_even(avg({m}), 4) as {m}" for m in evals.MEANS)
@@ -416,15 +418,17 @@ def round_robin(spark, sf):
 
 
 @query(
-    """with j as (select p_partkey, s_suppkey, s_nationkey from (select * from part where p_size <= 5) join supplier on (p_partkey + s_suppkey) % 10 = 0),
+    """with j as (select distinct p_partkey, s_suppkey, s_nationkey from part join lineitem on l_partkey = p_partkey join supplier on l_suppkey = s_suppkey),
     t as (select *, row_number() over (partition by p_partkey, s_nationkey order by sha256('3|' || p_partkey || '|' || s_suppkey), p_partkey, s_suppkey) as turn from j),
     p as (select *, row_number() over (partition by p_partkey order by turn, sha256('3|' || s_nationkey), s_nationkey) as pick from t) select p_partkey, s_suppkey, s_nationkey from p where pick <= 6"""
 )
 def uniform_allocation(spark, sf):
-    items = table(spark, sf, "part").where("p_size <= 5").select("p_partkey", ((10 - F.col("p_partkey") % 10) % 10).alias("k"))
-    own = table(spark, sf, "supplier").select("s_suppkey", "s_nationkey", (F.col("s_suppkey") % 10).alias("k"))
-    covering = items.join(own, "k").select("p_partkey", "s_suppkey", "s_nationkey")
-    return planner.uniform(items.select("p_partkey"), covering, "p_partkey", "s_nationkey", "s_suppkey", 1200, 200, "3").select("p_partkey", "s_suppkey", "s_nationkey")
+    """All parts in six suppliers each, of those that have delivered it, nations in turn."""
+    items = table(spark, sf, "part").select("p_partkey")
+    own = table(spark, sf, "lineitem").select(F.col("l_partkey").alias("p_partkey"), F.col("l_suppkey").alias("s_suppkey")).distinct()
+    covering = own.join(table(spark, sf, "supplier").select("s_suppkey", "s_nationkey"), "s_suppkey").select("p_partkey", "s_suppkey", "s_nationkey")
+    n = items.count()
+    return planner.uniform(items, covering, "p_partkey", "s_nationkey", "s_suppkey", 6 * n, n, "3").select("p_partkey", "s_suppkey", "s_nationkey")
 
 
 @query(
@@ -474,10 +478,11 @@ def topk_chars(spark, sf):
 
 @query("select case when grouping(lang) = 1 then 'all' else lang end as lang, case when grouping(source) = 1 then 'all' else source end as source, count(*) as n, count(distinct text) as texts from documents group by grouping sets ((), (lang), (source))")
 def stats_report(spark, sf):
-    table(spark, sf, "documents").createOrReplaceTempView("_stats_documents")
-    return spark.sql(
-        "select if(grouping(lang) = 1, 'all', lang) as lang, if(grouping(source) = 1, 'all', source) as source, count(*) as n, count(distinct text) as texts from _stats_documents group by grouping sets ((), (lang), (source))"
-    )
+    # a 128-bit hash stands for a text, which would be shuffled once for each grouping
+    rows = table(spark, sf, "documents").select("lang", "source", F.when(F.col("text").isNotNull(), F.md5(F.col("text").cast("binary"))).alias("h"))
+    out = rows.groupingSets([[], ["lang"], ["source"]], "lang", "source").agg(F.grouping("lang").alias("l"), F.grouping("source").alias("s"), F.count("*").alias("n"), F.count_distinct("h").alias("texts"))
+    named = lambda c, g: F.when(F.col(g) == 1, "all").otherwise(F.col(c)).alias(c)
+    return out.select(named("lang", "l"), named("source", "s"), "n", "texts")
 
 
 @query("select event_id, case when value / 1000 < 0.004 then 'ink' when value < 45 then 'contrast' end as error from events")
@@ -523,6 +528,60 @@ def export_summary(spark, sf):
     return rows.groupBy("source").agg(F.count("*").alias("files"), F.sum(F.length("text")).alias("total"))
 
 
+_FACES = [("a", "Serif", "a.ttf", 0.9, 1.0, 200, 700), ("b", "Serif", "b.ttf", 0.4, 0.995, 400, 400), ("c", "Sans", "c.ttf", 0.9, 0.2, 100, 300), ("d", "Hand", "c.ttf", 0.5, 0.99, 450, 460)]
+_FACE_COLUMNS = "font_key string, family string, path string, coverage_bmp double, coverage_ext double, axis_lo int, axis_hi int"
+_FACES_SQL = f"faces(font_key, family, path, coverage_bmp, coverage_ext, axis_lo, axis_hi) as (values {_sql_values(_FACES)})"
+
+
+@query(f"with {_FACES_SQL} select font_key, family, row_number() over (order by coverage_ext desc, coverage_bmp desc, font_key) as place from faces where coverage_bmp >= 0.5")
+def usable_fonts_ranked(spark, sf):
+    from pyspark.sql.window import Window
+
+    rows = fonts.usable(values(spark, _FACES, _FACE_COLUMNS).withColumn("coverage", F.col("coverage_bmp")))
+    place = F.row_number().over(Window.orderBy(F.desc("coverage_ext"), F.desc("coverage_bmp"), "font_key"))
+    return rows.select("font_key", "family", place.alias("place"))
+
+
+@query(f"with {_FACES_SQL}, w(v) as (values (400), (700)) select font_key, v as variation from faces left join w on v between axis_lo and axis_hi")
+def weight_instances(spark, sf):
+    return fonts.expand_weights(values(spark, _FACES, _FACE_COLUMNS), [400, 700]).select("font_key", "variation")
+
+
+@query(f"with {_FACES_SQL} select count(distinct path) as files, count(*) as instances, count(*) filter (coverage_bmp >= 0.5) as usable, count(*) filter (coverage_ext >= 0.99) as full_ext, array_to_string(list_sort(list(distinct family)), '+') as families from faces")
+def font_report(spark, sf):
+    return fonts.report(values(spark, _FACES, _FACE_COLUMNS)).withColumn("families", F.array_join("families", "+"))
+
+
+_WRAPPED = [
+    ("think", "<think>a\nb</think>日本"), ("json", '{"text": "香港"}'), ("lead", "The text is: 香港"), ("colon", "Text：香港"), ("wide", "Ａｂ　１２"), ("ligature", "ﬁne ²"), ("half", "ｶﾞ"), ("plain", "香 港"),
+]
+_PLAIN = [("think", "日本", "日本"), ("json", "香港", "香港"), ("lead", "香港", "香港"), ("colon", "香港", "香港"), ("wide", "Ａｂ　１２", "Ab12"), ("ligature", "ﬁne ²", "fine2"), ("half", "ｶﾞ", "ガ"), ("plain", "香 港", "香港")]
+
+
+@query(f"select * from (values {_sql_values(_PLAIN)}) v(kind, prediction, normal)")
+def unwrap_and_normalize(spark, sf):
+    """Reasoning blocks, JSON answers, lead-ins and NFKC, which the tables' texts don't have; SQL lists what must come out."""
+    rows = values(spark, _WRAPPED, "kind string, raw string").withColumn("prediction", S.postprocess(F.col("raw")))
+    return rows.select("kind", "prediction", S.normalize(F.col("prediction")).alias("normal"))
+
+
+@query(f"with {_LOG} select model, count(*) as n from log where error = '' group by model")
+def rows_without_errors(spark, sf):
+    return evals.with_errors(_log(spark, sf), False).groupBy("model").agg(F.count("*").alias("n"))
+
+
+@query("select p_partkey, p_size from part where p_size <> 48 or not (length(p_name) between 8 and 20000)")
+def size_sanity(spark, sf):
+    rows = table(spark, sf, "part").select("p_partkey", "p_size", F.col("p_size").alias("height"), F.length("p_name").alias("width"))
+    return qa.size_faults(rows).select("p_partkey", "p_size")
+
+
+@query(f"with {_SENTENCES} select distinct source from sentences")
+def sources_with_sentences(spark, sf):
+    docs = table(spark, sf, "documents")
+    return corpus.licences(corpus.sentences(docs, LATIN), docs.select("source").distinct())
+
+
 @query(None)
 def benchmark_plan(spark, sf):
     """The three-tier plan over documents; hashed draws through several joins, checked in tests for its budgets and coverage."""
