@@ -167,9 +167,11 @@ def notices(files: DataFrame, key: str = "doc_id", text: str = "text") -> DataFr
     whole, whole_idf, whole_other = _texts()
     weight = [(w, False, x) for w, x in idf.items()] + [(w, True, x) for w, x in whole_idf.items()]
     weight = spark.createDataFrame(weight, "w string, is_whole boolean, idf double")
-    rows = [(w, kind, i, name, x) for i, name, v in _templates() for kind in ((0, _size(i)) if name else (0, *SIZES)) for w, x in v.items()]
-    rows += [(w, -1, i, name, x) for i, name, v in whole for w, x in v.items()]
-    vectors = spark.createDataFrame(rows, "w string, kind int, template int, license string, x double")
+    rows = [(w, kind, i, x) for i, name, v in _templates() for kind in ((0, _size(i)) if name else (0, *SIZES)) for w, x in v.items()]
+    rows += [(w, -1, i, x) for i, name, v in whole for w, x in v.items()]
+    vectors = spark.createDataFrame(rows, "w string, kind int, template int, x double")
+    names = [(i, False, name) for i, name, _ in _templates()] + [(i, True, name) for i, name, _ in whole]
+    names = F.broadcast(spark.createDataFrame(names, "template int, is_whole boolean, license string"))
     cued = files.where(F.col(text).rlike(CUE) & F.col(key).isNotNull()).select(F.col(key).alias("key"), F.col(text).alias("text"))
     toks = lambda c: F.regexp_extract_all(F.lower(c), F.lit(_TOKEN), F.lit(0))
     # written, or each position of a window would cut the text anew
@@ -177,16 +179,19 @@ def notices(files: DataFrame, key: str = "doc_id", text: str = "text") -> DataFr
     lines = cued.select("key", F.posexplode(F.split("text", r"\n|(?<=[.])\s+", -1)).alias("at", "s")).where(F.col("s").rlike(CUE))
     units = lines.select("key", F.lit(0).alias("kind"), "at", F.explode(toks("s")).alias("w"))
     held = cued.select("key", "toks").where(F.size("toks") > 0)
-    windows = held.select("key", F.inline(_windows(F.col("toks")))).select("key", "kind", "at", F.explode("ws").alias("w"))
-    units = units.unionByName(windows).unionByName(held.select("key", F.lit(-1).alias("kind"), F.lit(0).alias("at"), F.explode("toks").alias("w")))
+    units = units.unionByName(held.select("key", F.lit(-1).alias("kind"), F.lit(0).alias("at"), F.explode("toks").alias("w")))
     unit = ["key", "kind", "at"]
-    words = units.groupBy(*unit, "w").agg(F.count("*").alias("n")).withColumn("is_whole", F.col("kind") < 0)
+    words = units.groupBy(*unit, "w").agg(F.count("*").alias("n"))
+    # windows are short, so their tokens are counted where they are; what is shuffled of a window are its sums
+    counted = F.transform(F.array_distinct("ws"), lambda w: F.struct(w.alias("w"), F.size(F.filter("ws", lambda x: x == w)).cast("long").alias("n")))
+    windows = held.select("key", F.inline(_windows(F.col("toks")))).select(*unit, F.inline(counted))
+    words = words.unionByName(windows).withColumn("is_whole", F.col("kind") < 0)
     tf = F.when(F.col("is_whole"), 1 + F.log("n")).otherwise(F.col("n"))
     rare = F.coalesce("idf", F.when(F.col("is_whole"), whole_other).otherwise(other))
     words = words.join(F.broadcast(weight), ["w", "is_whole"], "left").withColumn("v", tf * rare)
     norms = words.groupBy(*unit).agg(F.sqrt(F.sum(F.col("v") * F.col("v"))).alias("norm"))
-    dots = words.join(F.broadcast(vectors), ["w", "kind"]).groupBy(*unit, "template", "license").agg(F.sum(F.col("v") * F.col("x")).alias("dot"))
-    scores = dots.join(norms, unit).withColumn("score", F.round(F.col("dot") / F.col("norm"), 9))
+    dots = words.join(F.broadcast(vectors), ["w", "kind"]).groupBy(*unit, "template").agg(F.sum(F.col("v") * F.col("x")).alias("dot"))
+    scores = dots.join(norms, unit).withColumns({"score": F.round(F.col("dot") / F.col("norm"), 9), "is_whole": F.col("kind") < 0}).join(names, ["template", "is_whole"])
     # as many as there are licenses in a unit
     best = scores.groupBy(*unit, "license").agg(F.max(F.struct("score", (-F.col("template")).alias("t"))).alias("m"))
     best = best.groupBy(*unit).agg(F.sort_array(F.collect_list(F.struct("m.score", "m.t", "license")), False).alias("b"))
