@@ -370,6 +370,19 @@ def jaccard_components(docs: DataFrame, k: int = 5, num: int = 80, den: int = 10
     return rows.select("doc_id", F.col("n").alias("n_shingles"), F.coalesce("component_id", "doc_id").alias("component_id"))
 
 
+def components_sql(k: int, num: int, den: int) -> str:
+    """jaccard_components over the table documents, whose doc_ids are unique, in DuckDB's SQL: all pairs that share a shingle."""
+    words = " || ' ' || ".join(f"ws[i + {j}]" for j in range(k))
+    return f"""with recursive words as (select doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\\x20\\x09-\\x0D]+') as ws from documents),
+    shingles as (select distinct doc_id, unnest(case when len(ws) >= {k} then list_transform(range(1, len(ws) - {k} + 2), lambda i: {words}) when len(ws) > 0 then [array_to_string(ws, ' ')] else [] end) as s from words),
+    sizes as (select doc_id, count(*) as n from shingles group by doc_id), sized as (select * from shingles join sizes using (doc_id)),
+    links as (select a.doc_id as a, b.doc_id as b from sized a join sized b on a.s = b.s and a.doc_id < b.doc_id and least(a.n, b.n) * {den} >= greatest(a.n, b.n) * {num}
+      group by a.doc_id, b.doc_id, a.n, b.n having {den} * count(*) >= {num} * (a.n + b.n - count(*))),
+    steps as (select a, b from links union all select b, a from links), reach as (select a, b from steps union select reach.a, steps.b from reach join steps on steps.a = reach.b),
+    least_ as (select a as doc_id, min(b) as other from reach group by a)
+    select doc_id, coalesce(n, 0)::bigint as n_shingles, least(doc_id, coalesce(other, doc_id)) as component_id from words left join sizes using (doc_id) left join least_ using (doc_id)"""
+
+
 def jaccard_links(docs: DataFrame, k: int = 5, num: int = 80, den: int = 100, doc_id: str = "doc_id", text: str = "text") -> tuple[DataFrame, DataFrame]:
     """(links, members) by the multi-match join of all pairs: every link between different sets, not just those that join components.
 

@@ -88,7 +88,8 @@ def queries() -> dict:
 
 
 def oracle_sql() -> dict[str, str]:
-    """SQL where it can express the query: op1 to op5 and op7 call libraries, fit models on samples or search by trees."""
+    """SQL where it can express the query: op1 and op9 fit models, op2 to op4 call libraries, op5 and op7 search by hashes and trees, op10 has whole texts as constants."""
+    from inkwright.llm.jaccard import components_sql
     from inkwright.llm.urls import filter_sql
 
-    return {"op6_url_filter": filter_sql(URL_RULES)}
+    return {"op6_url_filter": filter_sql(URL_RULES), "op8_ngram_jaccard_join": components_sql(3, 90, 100)}
