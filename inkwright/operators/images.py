@@ -33,7 +33,11 @@ def blurred(grey: np.ndarray, sigma: float) -> np.ndarray:
         pad = [(0, 0), (0, 0)]
         pad[axis] = (r, r)
         wide = np.pad(out, pad, mode="reflect" if out.shape[axis] > r else "symmetric")
-        out = sum(w * np.take(wide, range(i, i + out.shape[axis]), axis=axis) for i, w in enumerate(k))
+        n, rows = out.shape[axis], np.moveaxis(wide, axis, 0)
+        total = k[0] * rows[:n]
+        for i in range(1, len(k)):
+            total += k[i] * rows[i : i + n]
+        out = np.moveaxis(total, 0, axis)
     return out
 
 

@@ -144,11 +144,11 @@ def blocks(a: np.ndarray, quality: int) -> np.ndarray:
     basis[0] /= np.sqrt(2)
     loss = (50 / quality if quality < 50 else 2 - quality / 50) + 0.02
     step = np.maximum(1, (10 + 7 * np.add.outer(k, k)) * loss)
-    cut = wide.reshape(wide.shape[0] // 8, 8, wide.shape[1] // 8, 8, 3)
-    coef = np.einsum("ui,aibjc,vj->aubvc", basis, cut, basis)
-    step = step[None, :, None, :, None]
-    back = np.einsum("ui,aubvc,vj->aibjc", basis, np.round(coef / step) * step, basis)
-    return np.clip(back.reshape(wide.shape)[:h, :w] + 128, 0, 255).astype(np.uint8)
+    # (block row, block column, channel, 8, 8), so that both transforms are matrix products
+    cut = wide.reshape(wide.shape[0] // 8, 8, wide.shape[1] // 8, 8, 3).transpose(0, 2, 4, 1, 3)
+    coef = basis @ cut @ basis.T
+    back = basis.T @ (np.round(coef / step) * step) @ basis
+    return np.clip(back.transpose(0, 3, 1, 4, 2).reshape(wide.shape)[:h, :w] + 128, 0, 255).astype(np.uint8)
 
 
 def augmented(a: np.ndarray, level: str, rng: np.random.Generator) -> np.ndarray:
