@@ -154,3 +154,12 @@ def highlight(c: Column, members: list[str], before: str = "<b>", after: str = "
 
 def percent(c: Column, as_percent: bool = False) -> Column:
     return F.when(c.isNull(), "TBD").otherwise(F.format_string("%.1f%%", c * 100) if as_percent else F.format_string("%.4f", c))
+
+
+def human_bytes(c: Column) -> Column:
+    """A number of bytes with one digit in B to TB, halves to even."""
+    of = lambda power, unit: F.format_string(f"%.1f {unit}", F.bround(c / F.lit(float(1024**power)), 1))
+    text = of(4, "TB")
+    for power, unit in ((3, "GB"), (2, "MB"), (1, "KB"), (0, "B")):
+        text = F.when(c < 1024 ** (power + 1), of(power, unit)).otherwise(text)
+    return F.when(c.isNotNull(), text)

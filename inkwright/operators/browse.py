@@ -57,7 +57,19 @@ def page(rows: DataFrame, number: int, order: str, original: list[str], size: in
     return rows.orderBy(*ordered(rows, order, original)).offset((number - 1) * size).limit(size)
 
 
-def card(rows: DataFrame) -> DataFrame:
-    """rows with what a card shows: wide, ok, ext and the pair's label."""
+def card(rows: DataFrame, labels: tuple[str, str] = ("written %s", "spoken %s")) -> DataFrame:
+    """rows with what a card shows: wide (sentences and texts of more than 8 characters), ok, ext (the extension plane, else null) and pair_label.
+
+    labels are for the target and the confusable side of a pair, %s being the other side. Columns that rows lack count as null.
+    """
+    has = lambda c: F.col(c) if c in rows.columns else F.lit(None).cast("string")
     wide = (F.col("tier") == "sentence") | (F.col("n_chars") > 8)
-    return rows.withColumns({"wide": wide, "ok": F.coalesce(F.col("acc") == 1, F.lit(False))})
+    ext = F.when(has("plane").isin("ExtA", "ExtB+"), has("plane"))
+    label = F.when(has("pair_role") == "target", labels[0]).when(has("pair_role") == "confusable", labels[1])
+    ok = F.coalesce(has("acc").cast("double") == 1, F.lit(False))
+    return rows.withColumns({"wide": wide, "ok": ok, "ext": ext, "pair_label": F.replace(label, F.lit("%s"), has("pair_with"))})
+
+
+def markers(rows: DataFrame) -> DataFrame:
+    """(ch): the characters to mark, those of single-character rows that are targets."""
+    return rows.where("tier = 'char' and role = 'target'").select(F.col("text").alias("ch")).distinct()

@@ -19,6 +19,11 @@ def without(a: DataFrame, *others: DataFrame) -> DataFrame:
     return a
 
 
+def exclusions(built_in: DataFrame, own: DataFrame) -> DataFrame:
+    """(ch) of the built-in exclusions and one's own."""
+    return built_in.select("ch").union(own.select("ch")).distinct()
+
+
 def funnel_reason(freq: DataFrame, standard: DataFrame, foreign: DataFrame, excluded: DataFrame, min_freq: int) -> DataFrame:
     """freq with reason, the first that holds: low_freq, standard, foreign, excluded, else kept."""
     rows = freq

@@ -57,6 +57,15 @@ def char_frequency(rows: DataFrame, text: str = "text", keep: Column | None = No
     return out.groupBy(*(by or []), "ch").agg(F.sum("_times").alias("freq"))
 
 
+def concatenated(**sources: DataFrame) -> DataFrame:
+    """Rows of all sources, each with its name as source; columns that a source lacks are null."""
+    out = None
+    for name, rows in sources.items():
+        rows = rows.withColumn("source", F.lit(name))
+        out = rows if out is None else out.unionByName(rows, allowMissingColumns=True)
+    return out
+
+
 def heaviest(rows: DataFrame, key: str, weight: str, order: str, *more: str) -> DataFrame:
     """(key, weight, order, more..., first) of the row of greatest weight per key, the first of equals; first: where the key stood first."""
     best = rows.groupBy(key).agg(F.max_by(F.struct(weight, order, *more), F.struct(F.col(weight), -F.col(order))).alias("m"), F.min(order).alias("first"))

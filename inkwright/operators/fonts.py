@@ -2,10 +2,14 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from inkwright.functions.text import chars
+from inkwright.functions.text import chars, font_key, stem
+from inkwright.sources import sfnt
 
 
 def code_points(texts: DataFrame, text: str = "text") -> DataFrame:
@@ -72,3 +76,51 @@ def report(fonts: DataFrame) -> DataFrame:
         F.count_if(F.col("coverage_ext") >= 0.99).alias("full_ext"),
         F.array_sort(F.collect_set("family")).alias("families"),
     )
+
+
+def candidates(files: DataFrame, whitelist: list[str]) -> DataFrame:
+    """files (path, own, ...) of font kinds that are one's own or whose plain name holds a part of the whitelist, each path once; null paths go."""
+    name = F.element_at(F.split("path", "/"), -1)
+    listed = F.lit(False)
+    for part in whitelist:
+        listed = listed | F.contains(stem(name), F.lit(part))
+    rows = files.where(F.lower(name).rlike(r"\.(ttf|otf|ttc|otc)$") & (F.coalesce("own", F.lit(False)) | listed))
+    return rows.groupBy("path").agg(*(F.max(c).alias(c) for c in files.columns if c != "path"))
+
+
+FACES = "path string, face int, cps array<int>, axis_lo double, axis_hi double, error string"
+
+
+def faces(files: DataFrame) -> DataFrame:
+    """FACES rows of (path, content): one for each face of a file; unreadable files have an error instead, null and empty ones too."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        kinds = (pa.string(), pa.int32(), pa.list_(pa.int32()), pa.float64(), pa.float64(), pa.string())
+        for batch in batches:
+            # file by file, as a font may be tens of megabytes
+            for path, data in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
+                try:
+                    found = [(path, n, cps, *(axis or (None, None)), None) for n, cps, axis in sfnt.faces(data.as_py() or b"")]
+                except Exception as e:  # whatever a broken file makes of the parser
+                    found = [(path, None, None, None, None, f"{type(e).__name__}: {e}")]
+                columns = zip(*found, strict=True) if found else [[]] * len(kinds)
+                yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], [f.split()[0] for f in FACES.split(", ")])
+
+    return files.select("path", "content").mapInArrow(run, FACES)
+
+
+def catalogue(faces_: DataFrame, weights: list[int], probe_bmp: list[int], probe_ext: list[int]) -> DataFrame:
+    """(font_key, family, path, face, variation, cps, n_glyphs, coverage_bmp, coverage_ext): an instance for each weight within a face's axis, else one."""
+    rows = expand_weights(faces_.where("error is null"), weights)
+    family = F.regexp_extract("path", r"([^/]*?)(?:\.[^./]*)?$", 1)
+    share = lambda probe: F.size(F.array_intersect("cps", F.array(*map(F.lit, probe)))) / F.lit(max(1, len(set(probe))))
+    return rows.select(
+        font_key(family, F.col("face"), F.col("variation")).alias("font_key"), family.alias("family"), "path", "face", "variation", "cps",
+        F.size("cps").alias("n_glyphs"), share(probe_bmp).alias("coverage_bmp"), share(probe_ext).alias("coverage_ext"),
+    )
+
+
+def for_plan(plan: DataFrame, fonts: DataFrame, key: str = "font_key") -> DataFrame:
+    """plan rows with their font's columns, and an error where there is no such font. fonts is unique by key."""
+    rows = plan.join(fonts.withColumn("_known", F.lit(True)), key, "left")
+    return rows.withColumn("error", F.when(F.col("_known").isNull(), F.concat(F.lit("no font "), F.coalesce(key, F.lit("null"))))).drop("_known")

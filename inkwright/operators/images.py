@@ -5,8 +5,10 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 #: Fixed value: the factor between seed and index of a row's generator.
 STRIDE = 1_000_003
@@ -67,8 +69,19 @@ def noise(a: np.ndarray, rng: np.random.Generator, level: float) -> np.ndarray:
     return a if level <= 0 else np.clip(a + rng.normal(0, level, a.shape), 0, 255).astype(np.uint8)
 
 
-def measure(images: DataFrame, seed: int | None = None, level: float = 0.0) -> DataFrame:
-    """(idx, ink_ratio, contrast, error) of (idx, pixels binary, height, width): grey images; with a seed, after noise of the level.
+def grey_of(files: DataFrame) -> DataFrame:
+    """files (pixels, channels, ...) with grey pixels."""
+
+    @F.pandas_udf("binary")
+    def grey(pixels: pd.Series, channels: pd.Series) -> pd.Series:
+        weights = np.array([0.114, 0.587, 0.299])
+        return pd.Series([p if p is None or n == 1 else (np.frombuffer(p, np.uint8).reshape(-1, 3) @ weights).astype(np.uint8).tobytes() for p, n in zip(pixels, channels, strict=True)], dtype=object)
+
+    return files.withColumn("pixels", grey("pixels", "channels"))
+
+
+def measure(images: DataFrame, seed: int | None = None, level: float = 0.0, key: str = "idx") -> DataFrame:
+    """(idx, ink_ratio, contrast, error) of (idx, pixels binary, height, width): grey images; with a seed, after noise of the level. key: another name for idx, of texts if there is no seed.
 
     Images whose pixels don't fit their shape come back with an error and null metrics.
     """
@@ -84,6 +97,7 @@ def measure(images: DataFrame, seed: int | None = None, level: float = 0.0) -> D
                 grey = grey if seed is None else noise(grey, generator(seed, idx), level)
                 out.append((idx, round(ink_ratio(grey), 4), round(contrast(grey), 1), None))
             cols = list(zip(*out, strict=True)) or [[], [], [], []]
-            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, (pa.int64(), pa.float64(), pa.float64(), pa.string()), strict=True)], ["idx", "ink_ratio", "contrast", "error"])
+            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, (batch.schema.field(0).type, pa.float64(), pa.float64(), pa.string()), strict=True)], [key, "ink_ratio", "contrast", "error"])
 
-    return images.select("idx", "pixels", "height", "width").mapInArrow(run, "idx long, ink_ratio double, contrast double, error string")
+    kind = images.schema[key].dataType.simpleString()
+    return images.select(key, "pixels", "height", "width").mapInArrow(run, f"{key} {kind}, ink_ratio double, contrast double, error string")

@@ -35,8 +35,8 @@ def distribution(rows: DataFrame, columns: list[str]) -> DataFrame:
 
 
 def extremes(rows: DataFrame, key: str) -> DataFrame:
-    """(most, least): the greatest and least number of rows of a key."""
-    return rows.groupBy(key).agg(F.count("*").alias("n")).agg(F.max("n").alias("most"), F.min("n").alias("least"))
+    """(keys, most, least): how many keys there are, and the greatest and least number of rows of one."""
+    return rows.groupBy(key).agg(F.count("*").alias("n")).agg(F.count("*").alias("keys"), F.max("n").alias("most"), F.min("n").alias("least"))
 
 
 def document_frequency(rows: DataFrame, text: str = "text", rare: int = 3) -> DataFrame:
@@ -76,3 +76,34 @@ def hash_order(seed: str, *columns: str) -> Column:
 def sample_exactly(rows: DataFrame, n: int, seed: str, *keys: str) -> DataFrame:
     """n rows of least hash."""
     return rows.orderBy(hash_order(seed, *keys), *keys).limit(n)
+
+
+def total_bytes(rows: DataFrame, content: str) -> DataFrame:
+    """(files, bytes) of a column of texts or bytes; null ones are files of no bytes."""
+    return rows.agg(F.count("*").alias("files"), F.coalesce(F.sum(F.octet_length(content)), F.lit(0)).cast("long").alias("bytes"))
+
+
+#: What keeps a data set from being published; anything else that is found only warns.
+FATAL = ("pairing", "unreadable", "glyphs")
+
+
+def findings(pairs_: DataFrame, images: DataFrame, measures: DataFrame, glyphs: DataFrame | None, weak: DataFrame | None) -> DataFrame:
+    """(check, fatal, n, example): faults of each check and the first of them by name; checks without faults have no row.
+
+    pairs_: of pairing. images: (file, height, width, error). measures: (file, ink_ratio, contrast). glyphs: (file,
+    missing). weak: of weak_pairs. Empty frames and None add nothing.
+    """
+    parts = [
+        pairs_.select(F.lit("pairing").alias("check"), F.col("file").alias("what")),
+        images.where("error is not null").select(F.lit("unreadable"), "file"),
+        size_faults(images.where("error is null")).select(F.lit("size"), "file"),
+        measures.withColumn("g", gate(F.col("ink_ratio"), F.col("contrast"))).where("g is not null").select("g", "file"),
+    ]
+    if glyphs is not None:
+        parts.append(glyphs.where("missing <> ''").select(F.lit("glyphs"), "file"))
+    if weak is not None:
+        parts.append(weak.select(F.lit("weak pairs"), F.concat_ws("/", "target", "confusable")))
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.union(p)
+    return out.groupBy("check").agg(F.count("*").alias("n"), F.min("what").alias("example")).select("check", F.col("check").isin(*FATAL).alias("fatal"), "n", "example")

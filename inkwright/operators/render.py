@@ -13,6 +13,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 
 from inkwright.operators import images as I
+from inkwright.plans.planner import with_difficulty
 
 #: Bounds of each level's variation.
 LEVELS: dict[str, dict] = {
@@ -200,7 +201,7 @@ SCHEMA = "idx long, text string, font_key string, pixels binary, height int, wid
 
 
 def render(plan: DataFrame, fonts: Mapping[str, Glyphs], seed: int, tasks: int | None = None) -> DataFrame:
-    """SCHEMA rows of plan rows (idx, text, font_key, difficulty): pixels are uint8, height x width x 3.
+    """SCHEMA rows of plan rows (idx, text, font_key, difficulty, drawn where there is none): pixels are uint8, height x width x 3.
 
     A row depends on its idx and seed alone. Unknown fonts and failed gates come back with an error and no
     pixels. fonts is broadcast: a font pool of bitmaps, as large as its glyphs.
@@ -218,7 +219,7 @@ def render(plan: DataFrame, fonts: Mapping[str, Glyphs], seed: int, tasks: int |
             kinds = (pa.int64(), pa.string(), pa.string(), pa.binary(), pa.int32(), pa.int32(), pa.float64(), pa.float64(), pa.string())
             yield pa.RecordBatch.from_arrays([pa.array([r.get(n) for r in rows], k) for n, k in zip(names, kinds, strict=True)], list(names))
 
-    rows = plan.select("idx", "text", "font_key", "difficulty")
+    rows = with_difficulty(plan, str(seed), "idx").select("idx", "text", "font_key", "difficulty")
     return (rows.repartition(tasks) if tasks else rows).mapInArrow(run, SCHEMA)
 
 

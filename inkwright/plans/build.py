@@ -25,14 +25,24 @@ def fonts_for(texts: DataFrame, cmap: DataFrame, n: int, seed: str) -> DataFrame
     return planner.round_robin(covering, ["text"], ["family"], seed, ["text", "font_key"], n).select("text", "font_key", "pick")
 
 
+def char_items(charset: DataFrame, pairs: DataFrame) -> DataFrame:
+    """(text, role): the charset as targets and the different confusable characters as counterparts; one character may be both."""
+    targets = charset.select(F.col("ch").alias("text"), F.lit("target").alias("role"))
+    return targets.unionByName(pairs.select(F.col("confusable").alias("text"), F.lit("counterpart").alias("role")).distinct())
+
+
+def with_attributes(rows: DataFrame, charset: DataFrame) -> DataFrame:
+    """rows (text, ...) with what charset tells of their character; others have frequency 0 and come as counterparts."""
+    known = charset.select(F.col("ch").alias("text"), "freq", F.col("source").alias("charset_source"))
+    more = {"corpus_freq": F.coalesce("freq", F.lit(0)), "charset_source": F.coalesce("charset_source", F.lit("counterpart")), "plane": plane(F.col("text")), "source": F.lit("charset")}
+    return rows.join(known, "text", "left").withColumns(more).drop("freq")
+
+
 def char_tier(charset: DataFrame, pairs: DataFrame, cmap: DataFrame, budget: int, seed: str) -> DataFrame:
     """Each character and each confusable counterpart equally often, at least once each even over budget."""
-    targets = charset.select(F.col("ch").alias("text"), F.lit("target").alias("role"))
-    items = targets.unionByName(pairs.select(F.col("confusable").alias("text"), F.lit("counterpart").alias("role")).distinct())
+    items = char_items(charset, pairs)
     per = max(1, budget // max(1, items.count()))
-    known = charset.select(F.col("ch").alias("text"), "freq", F.col("source").alias("charset_source"))
-    rows = items.join(fonts_for(items, cmap, per, seed), "text").join(known, "text", "left")
-    rows = rows.withColumns({"corpus_freq": F.coalesce("freq", F.lit(0)), "charset_source": F.coalesce("charset_source", F.lit("counterpart")), "plane": plane(F.col("text")), "source": F.lit("charset")}).drop("freq")
+    rows = with_attributes(items.join(fonts_for(items, cmap, per, seed), "text"), charset)
     own = F.broadcast(pairs.select(F.col("target").alias("text"), F.col("confusable").alias("minimal_pair_with")))
     return rows.join(own, "text", "left").withColumn("item", qa.hash_order(seed, "role", "text"))
 
@@ -78,12 +88,17 @@ def unrenderable(charset: DataFrame, cmap: DataFrame) -> DataFrame:
     return fonts.unrenderable(charset.select(F.col("ch").alias("text")), cmap)
 
 
+def most_frequent(records: DataFrame, n: int) -> DataFrame:
+    """(text, corpus_freq) of the n texts of greatest frequency, those that stand first among equals."""
+    rows = records.groupBy("text").agg(F.max("corpus_freq").alias("corpus_freq"), F.min("idx").alias("_first"))
+    return rows.orderBy(F.desc("corpus_freq"), "_first").limit(n).drop("_first")
+
+
 def showcase(records: DataFrame, pairs: DataFrame, seed: str = "20260825", n_pairs: int = 7, n_ext: int = 9, per_bucket: int = 2) -> DataFrame:
     """A small selection: both sides of the first pairs (clean ones first), frequent extension characters, every tier and difficulty, three of each sentence source."""
     first = pairs.orderBy("ord").limit(n_pairs)
     sides = first.select(F.col("target").alias("text")).union(first.select("confusable")).distinct().withColumn("in_pair", F.lit(True))
-    ext = records.where("tier = 'char' and plane in ('ExtA', 'ExtB+')").groupBy("text").agg(F.max("corpus_freq").alias("f"), F.min("idx").alias("i"))
-    ext = ext.orderBy(F.desc("f"), "i").limit(n_ext).select("text", F.lit(True).alias("in_ext"))
+    ext = most_frequent(records.where("tier = 'char' and plane in ('ExtA', 'ExtB+')"), n_ext).select("text", F.lit(True).alias("in_ext"))
     rows = records.join(F.broadcast(sides), "text", "left").join(F.broadcast(ext), "text", "left")
     h = qa.hash_order(seed, "file")
     char = F.col("tier") == "char"
@@ -95,3 +110,19 @@ def showcase(records: DataFrame, pairs: DataFrame, seed: str = "20260825", n_pai
     ]
     picked = planner.staged_pick(rows, stages, "file").drop("in_pair", "in_ext")
     return evals.tag_pairs(picked, pairs)
+
+
+TIER_ORDER = ("char", "word", "sentence")
+
+
+def showcase_order(rows: DataFrame) -> DataFrame:
+    """rows by tier, then file; tiers of other names come first."""
+    return rows.orderBy(F.array_position(F.array(*map(F.lit, TIER_ORDER)), F.col("tier")), "file")
+
+
+def showcase_counts(rows: DataFrame) -> DataFrame:
+    """(field, value, n): rows by tier, difficulty and plane, where they have one, and those of pairs."""
+    fields = [F.struct(F.lit(c).alias("field"), F.col(c).alias("value")) for c in ("tier", "difficulty", "plane")]
+    pair = F.struct(F.lit("pair").alias("field"), F.when(F.col("pair_with").isNotNull(), "yes").alias("value"))
+    out = rows.select(F.explode(F.array(*fields, pair)).alias("p")).select("p.*").where("coalesce(value, '') <> ''")
+    return out.groupBy("field", "value").agg(F.count("*").alias("n"))

@@ -44,6 +44,19 @@ def round_robin(rows: DataFrame, of: list[str], group: list[str], seed: str, key
     return rows.withColumn("pick", pick).where(F.col("pick") <= n)
 
 
+def buckets_in_turn(rows: DataFrame, buckets: list[str], seed: str, keys: list[str], n: int) -> DataFrame:
+    """n rows (fewer if there are no more) with turn: rounds that take one row of every bucket in the buckets' own order, by hash within one."""
+    w = Window.partitionBy(*buckets).orderBy(hash_order(seed, *keys), *keys)
+    rows = rows.withColumn("turn", F.row_number().over(w)).where(F.col("turn") <= n)
+    return rows.orderBy("turn", *buckets).limit(n)
+
+
+def with_difficulty(rows: DataFrame, seed: str, *keys: str) -> DataFrame:
+    """rows with a difficulty drawn by hash where they have none."""
+    drawn = draw(unit(seed, *keys))
+    return rows.withColumn("difficulty", F.coalesce("difficulty", drawn) if "difficulty" in rows.columns else drawn)
+
+
 def fill_budget(rows: DataFrame, size: str, budget: int, order: list[Column], by: list[str] | None = None) -> DataFrame:
     """Items in order while those before them hold fewer than budget rows; size is an item's number of rows.
 

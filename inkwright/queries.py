@@ -369,7 +369,7 @@ def distribution_share(spark, sf):
     return qa.distribution(table(spark, sf, "documents"), ["lang", "source"]).withColumn("share", F.round("share", 9))
 
 
-@query("select max(n) as most, min(n) as least from (select count(*) as n from documents group by source)")
+@query("select count(*) as keys, max(n) as most, min(n) as least from (select count(*) as n from documents group by source)")
 def usage_extremes(spark, sf):
     return qa.extremes(table(spark, sf, "documents"), "source")
 
@@ -614,3 +614,6 @@ def queries() -> dict:
 
 def oracle_sql() -> dict[str, str]:
     return dict(_SQL)
+
+
+from inkwright import more_queries  # noqa: E402,F401  (registers its queries, for which it needs what stands above)

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from inkwright.functions.picture import pixels_of
 from inkwright.functions.text import HAN, Preset, is_letter
 
 
@@ -71,6 +72,18 @@ def listing(spark: SparkSession, path: str, pattern: str = "*.[jJ][pP][gG]") ->
     return spark.read.format("binaryFile").option("pathGlobFilter", pattern).load(path).select(F.element_at(F.split("path", "/"), -1).alias("file"), "length")
 
 
+def images_in(spark: SparkSession, path: str, pattern: str = "*.[pP][nN][gG]") -> DataFrame:
+    """(file, length, height, width, channels, pixels, error) of the PNG files of a folder; unreadable ones have an error."""
+    rows = spark.read.format("binaryFile").option("pathGlobFilter", pattern).load(path)
+    return rows.select(F.element_at(F.split("path", "/"), -1).alias("file"), "length", pixels_of(F.col("content")).alias("i")).select("file", "length", "i.*")
+
+
+def font_files(spark: SparkSession, path: str) -> DataFrame:
+    """(path, content) of the font files of a folder and the folders in it."""
+    pattern = "*.{[tT][tT][fF],[oO][tT][fF],[tT][tT][cC],[oO][tT][cC]}"
+    return spark.read.format("binaryFile").option("pathGlobFilter", pattern).option("recursiveFileLookup", True).load(path).select("path", "content")
+
+
 def exists(spark: SparkSession, path: str) -> bool:
     """Whether there is a file or folder at path, in any file system that Spark knows."""
     at = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
