@@ -11,14 +11,21 @@ from pyspark.sql.window import Window
 
 from inkwright.functions.score import metrics, normalize, postprocess
 
+#: Most models of a registry.
+MODELS = 1000
 MEANS = ("cer_clipped", "acc", "ned_sim", "f1")
 
 
 def pending(models: DataFrame, records: DataFrame, log: DataFrame, first: int | None = None, order: str = "file") -> DataFrame:
-    """(model, record...) without those whose (model, file) has a row in log without an error. models is small; first: of each model."""
+    """(model, record...) without those whose (model, file) has a row in log without an error; first: of each model.
+
+    models is a registry: more than MODELS of them raise ValueError.
+    """
+    keys = [r.model for r in models.select("model").limit(MODELS + 1).collect()]
+    if len(keys) > MODELS:
+        raise ValueError(f"more than {MODELS} models")
     records = records.orderBy(order).limit(first) if first else records
-    # each record once per model; the models are broadcast, as a registry of a few rows
-    todo = records.crossJoin(F.broadcast(models.select("model")))
+    todo = records.withColumn("model", F.explode(F.array(*map(F.lit, keys)).cast("array<string>")))
     return todo.join(log.where(F.coalesce("error", F.lit("")) == "").select("model", "file").distinct(), ["model", "file"], "left_anti")
 
 
@@ -156,8 +163,8 @@ def evaluated(todo: DataFrame, images: DataFrame, host: str, prompt: str, tasks:
 
 def tag_pairs(rows: DataFrame, pairs: DataFrame, text: str = "text") -> DataFrame:
     """rows with minimal_pair_with by text, from either side of pairs (target, confusable); the own pair first."""
-    p = F.broadcast(pairs.select(F.col("target").alias(text), F.col("confusable").alias("_own")))
+    p = pairs.select(F.col("target").alias(text), F.col("confusable").alias("_own"))
     back = pairs.groupBy(F.col("confusable").alias(text)).agg(F.min("target").alias("_back"))
-    out = rows.join(p, text, "left").join(F.broadcast(back), text, "left")
+    out = rows.join(p, text, "left").join(back, text, "left")
     role = F.when(F.col("_own").isNotNull(), "target").when(F.col("_back").isNotNull(), "confusable")
     return out.withColumns({"pair_with": F.coalesce("_own", "_back"), "pair_role": role}).drop("_own", "_back")

@@ -4,8 +4,10 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from inkwright.functions.text import chars
+from inkwright.store import written
 
 
 def pairing(disk: DataFrame, metadata: DataFrame, labels: DataFrame) -> DataFrame:
@@ -53,10 +55,37 @@ def weak_pairs(pairs: DataFrame, rows: DataFrame, text: str = "text", least: int
     return out.where(F.least("n_target", "n_confusable") < least).select("target", "confusable", "n_target", "n_confusable")
 
 
+def exact_quantiles(rows: DataFrame, column: Column, shares: dict[str, float], by: list[str] | None = None) -> DataFrame:
+    """(by..., a column for each of shares): exact quantiles, between two values in proportion; null values don't count, none: null.
+
+    Values are counted, cut into ranges and ranked in each, and ranges are told the number of values before them; so a group of
+    all rows is neither held in memory nor sorted by one task.
+    """
+    by = by or []
+    counts = rows.select(*by, column.alias("_v")).groupBy(*by, "_v").agg(F.count("_v").alias("_n"))
+    ranged = written(counts.repartitionByRange(*by, "_v").withColumn("_part", F.spark_partition_id()), "ranges")
+    # a row for each group in each range
+    parts = ranged.groupBy(*by, "_part").agg(F.sum("_n").alias("_in"))
+    before = F.sum("_in").over(Window.partitionBy(*by).orderBy("_part")) - F.col("_in")
+    parts = parts.select(*(F.col(c).alias(f"_{c}") for c in by), F.col("_part").alias("_at"), before.alias("_before"), F.sum("_in").over(Window.partitionBy(*by)).alias("_all"))
+    same = F.col("_part") == F.col("_at")
+    for c in by:
+        same = same & F.col(c).eqNullSafe(F.col(f"_{c}"))
+    upto = F.col("_before") + F.sum("_n").over(Window.partitionBy("_part", *by).orderBy("_v"))
+    ranked = ranged.join(parts, same).withColumn("_upto", upto)
+    out = {}
+    for name, share in shares.items():
+        place = F.lit(share) * (F.col("_all") - 1)
+        out[f"{name}_lo"] = F.min(F.when(F.col("_upto") > F.floor(place), F.col("_v")))
+        out[f"{name}_hi"] = F.min(F.when(F.col("_upto") > F.ceil(place), F.col("_v")))
+        out[f"{name}_of"] = F.max(place - F.floor(place))
+    found = ranked.groupBy(*by).agg(*(c.alias(k) for k, c in out.items()))
+    return found.select(*by, *((F.col(f"{k}_lo") + (F.col(f"{k}_hi") - F.col(f"{k}_lo")) * F.col(f"{k}_of")).alias(k) for k in shares))
+
+
 def quantiles(rows: DataFrame, column: Column, by: list[str] | None = None) -> DataFrame:
     """(by..., median, p01, least)"""
-    q = F.percentile(column, F.array(F.lit(0.5), F.lit(0.01)))
-    return rows.groupBy(*(by or [])).agg(q.alias("q"), F.min(column).alias("least")).select(*(by or []), F.col("q")[0].alias("median"), F.col("q")[1].alias("p01"), "least")
+    return exact_quantiles(rows, column.cast("double"), {"median": 0.5, "p01": 0.01, "least": 0.0}, by)
 
 
 def size_faults(rows: DataFrame, height: int = 48, widths: tuple[int, int] = (8, 20000)) -> DataFrame:

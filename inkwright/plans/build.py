@@ -21,7 +21,7 @@ def with_hits(rows: DataFrame, charset: DataFrame, keys: list[str], text: str =
 def fonts_for(texts: DataFrame, cmap: DataFrame, n: int, seed: str) -> DataFrame:
     """(text, font_key, pick) for up to n fonts that cover each text, families in turn."""
     families = cmap.select("font_key", "family").distinct()
-    covering = fonts.covering(texts, cmap.select("font_key", "cp")).join(F.broadcast(families), "font_key")
+    covering = fonts.covering(texts, cmap.select("font_key", "cp")).join(families, "font_key")
     return planner.round_robin(covering, ["text"], ["family"], seed, ["text", "font_key"], n).select("text", "font_key", "pick")
 
 
@@ -43,7 +43,7 @@ def char_tier(charset: DataFrame, pairs: DataFrame, cmap: DataFrame, budget: int
     items = char_items(charset, pairs)
     per = max(1, budget // max(1, items.count()))
     rows = with_attributes(items.join(fonts_for(items, cmap, per, seed), "text"), charset)
-    own = F.broadcast(pairs.select(F.col("target").alias("text"), F.col("confusable").alias("minimal_pair_with")))
+    own = pairs.select(F.col("target").alias("text"), F.col("confusable").alias("minimal_pair_with"))
     return rows.join(own, "text", "left").withColumn("item", qa.hash_order(seed, "role", "text"))
 
 

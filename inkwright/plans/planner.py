@@ -38,7 +38,8 @@ def scaled(sizes: dict[str, int], total: int) -> dict[str, int]:
 def round_robin(rows: DataFrame, of: list[str], group: list[str], seed: str, keys: list[str], n: int) -> DataFrame:
     """At most n rows of each `of`, in rounds that take one row of every group; rows in a group and groups in a round by hash."""
     w = Window.partitionBy(*of, *group).orderBy(hash_order(seed, *keys), *keys)
-    rows = rows.withColumn("turn", F.row_number().over(w))
+    # a row of a later round than n is behind n others, so it needn't meet the window over all groups
+    rows = rows.withColumn("turn", F.row_number().over(w)).where(F.col("turn") <= n)
     turns = Window.partitionBy(*of) if of else Window.partitionBy()
     pick = F.row_number().over(turns.orderBy("turn", hash_order(seed, *group), *group))
     return rows.withColumn("pick", pick).where(F.col("pick") <= n)
@@ -96,11 +97,15 @@ def dense_index(rows: DataFrame, order: list[str]) -> DataFrame:
 
 
 def staged_pick(rows: DataFrame, stages: list[tuple[Column, list[str], int, list[Column]]], key: str) -> DataFrame:
-    """The first k rows of each group of each stage (condition, group, k, order), without rows of stages before; with the stage's number."""
+    """The first k rows of each group of each stage (condition, group, k, order), without rows of stages before; with the stage's number.
+
+    A stage's picks, k rows of each group, are written, so that the stages after it don't make them again.
+    """
     out, left = None, rows
     for number, (condition, group, k, order) in enumerate(stages):
         w = Window.partitionBy(*group).orderBy(*order, key)
         took = left.where(condition).withColumn("_rn", F.row_number().over(w)).where(F.col("_rn") <= k).drop("_rn").withColumn("stage", F.lit(number))
+        took = written(took, "picked")
         out = took if out is None else out.unionByName(took)
         left = left.join(took.select(key), key, "left_anti")
     return out

@@ -146,6 +146,27 @@ def test_pairing_and_sizes(spark):
     assert qa.size_faults(sizes).count() == 2
 
 
+def test_quantiles_equal_numpy(spark):
+    rng = random.Random(3)
+    data = [(g, None if rng.random() < 0.1 else float(rng.randrange(40))) for g in (None, "a", "b") for _ in range(300)] + [("one", 7.0), ("none", None)]
+    df = spark.createDataFrame(data, "g string, v double").repartition(5)
+    got = {r.g: r for r in qa.exact_quantiles(df, F.col("v"), {"q0": 0.0, "q1": 0.013, "q2": 0.5, "q3": 1.0}, ["g"]).collect()}
+    for g in (None, "a", "b", "one"):
+        want = np.quantile([v for k, v in data if k == g and v is not None], [0.0, 0.013, 0.5, 1.0])
+        assert np.allclose([got[g][f"q{i}"] for i in range(4)], want)
+    assert got["none"].q2 is None and len(got) == 5
+    assert qa.quantiles(df, F.col("v")).collect()[0].median == np.median([v for _, v in data if v is not None])
+    assert qa.quantiles(df.limit(0), F.col("v"), ["g"]).collect() == []
+
+
+def test_models_are_bounded(spark):
+    many = spark.range(evals.MODELS + 1).select(F.col("id").cast("string").alias("model"))
+    records, log = spark.createDataFrame([("a",)], "file string"), spark.createDataFrame([], "model string, file string, error string")
+    with pytest.raises(ValueError):
+        evals.pending(many, records, log)
+    assert evals.pending(many.limit(0), records, log).collect() == []
+
+
 def test_browser(spark):
     df = spark.createDataFrame([(i, "m", "sentence", "hard", f"g{i}", "p", float(i % 2), i / 10, 5, None) for i in range(130)], "ord int, model string, tier string, difficulty string, gt string, prediction string, acc double, cer_clipped double, n_chars int, minimal_pair_with string")
     assert browse.matching(df, correctness="correct").count() == 65
