@@ -25,7 +25,7 @@ from inkwright.llm.words import _grown, mix, text_runs
 #: Different pieces whose ids are kept in a worker, and the longest in bytes; beyond it the cache starts anew.
 CACHE, LONG_PIECE = 800_000, 64
 #: Bytes of text cut and looked up at a time.
-CHUNK = 1 << 20
+CHUNK = 1 << 18
 _U = np.uint64
 _RNG = np.random.Generator(np.random.PCG64(7))
 _TABLES = _RNG.integers(1, 2**63, (2, 256), dtype=np.uint64) * _U(2) + _U(1)
@@ -99,7 +99,7 @@ class IdEncoder:
 
     def _clear(self) -> None:
         self.n = 0
-        self.table, self.slots = np.zeros(1 << 16, np.uint64), np.zeros(1 << 16, np.int32)
+        self.slots = np.full(1 << 16, -1, np.int32)
         self.key, self.check = np.zeros(1 << 12, np.uint64), np.zeros(1 << 12, np.uint64)
         self.at = np.zeros((1 << 12) + 1, np.int64)
         self.flat = np.zeros(1 << 14, np.uint32)
@@ -108,25 +108,25 @@ class IdEncoder:
         return [np.array(e.ids, np.uint32) for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
     def _find(self, keys: np.ndarray) -> np.ndarray:
-        """The slot of each key, or -1: open addressing."""
-        mask = _U(len(self.table) - 1)
+        """The slot of each key, or -1: open addressing over slots alone, whose keys stand in self.key."""
+        mask = _U(len(self.slots) - 1)
         out, left, at = np.full(len(keys), -1, np.int64), np.arange(len(keys)), keys & mask
         while len(left):
-            there = self.table[at]
-            hit = there == keys[left]
-            out[left[hit]] = self.slots[at[hit]]
-            on = ~hit & (there != 0)
+            there = self.slots[at]
+            full = there >= 0
+            hit = full & (self.key[there] == keys[left])
+            out[left[hit]] = there[hit]
+            on = full & ~hit
             left, at = left[on], (at[on] + _U(1)) & mask
         return out
 
     def _enter(self, keys: np.ndarray, slots: np.ndarray) -> None:
-        mask = _U(len(self.table) - 1)
+        mask = _U(len(self.slots) - 1)
         at = keys & mask
         while len(keys):
-            free = self.table[at] == 0
-            self.table[at[free]] = keys[free]
-            mine = free & (self.table[at] == keys)
-            self.slots[at[mine]] = slots[mine]
+            free = self.slots[at] < 0
+            self.slots[at[free]] = slots[free]
+            mine = free & (self.slots[at] == slots)
             keys, slots, at = keys[~mine], slots[~mine], (at[~mine] + _U(1)) & mask
 
     def _ids(self, pieces: list[str], spaced: int) -> tuple[np.ndarray, np.ndarray]:
@@ -156,9 +156,8 @@ class IdEncoder:
             self.flat = np.tile(self.flat, 2)
         self.flat[self.at[n] : ends[-1]] = ids
         self.at[n + 1 : m + 1], self.key[n:m], self.check[n:m], self.n = ends, keys, checks, m
-        if 2 * m > len(self.table):
-            size = 4 * (1 << m.bit_length())
-            self.table, self.slots = np.zeros(size, np.uint64), np.zeros(size, np.int32)
+        if 2 * m > len(self.slots):
+            self.slots = np.full(4 * (1 << m.bit_length()), -1, np.int32)
             self._enter(self.key[:m], np.arange(m))
         else:
             self._enter(keys, np.arange(n, m))
@@ -174,7 +173,6 @@ class IdEncoder:
             np.cumsum(table[buf] * up[: len(buf)], out=sums[1:])
             hashes.append(mix((sums[ends] - sums[starts]) * down[starts] + (ends - starts).astype(np.uint64)))
         keys, checks = hashes
-        keys[keys == 0] = 1
         slots = self._find(keys)
         missing = np.flatnonzero(slots < 0)
         if len(missing):

@@ -1,4 +1,5 @@
 import random
+import tracemalloc
 import zlib
 from hashlib import sha256
 
@@ -39,6 +40,23 @@ def test_cached_encoder_equals_the_library():
         assert got == expected[a:b]
 
 
+def test_encoder_memory_with_many_different_words():
+    """A worker's cache of over half a million pieces and what it makes of a run of texts, in bytes."""
+    rnd = random.Random(5)
+    words = rnd.sample(range(26**5), 540_000)
+    spelt = ["".join(chr(97 + w // 26**i % 26) for i in range(5)) for w in words]
+    texts = [" ".join(spelt[a : a + 500]) for a in range(0, len(spelt), 500)]
+    encode = IdEncoder(JSON)
+    tracemalloc.start()
+    for _ in encode(pa.array(texts)):
+        pass
+    kept, peak = tracemalloc.get_traced_memory()
+    tracemalloc.stop()
+    assert encode.n > 530_000
+    assert kept < 70e6 and peak < 100e6
+    assert [x.tolist() for _, ids, ends in encode(pa.array(texts[:9])) for x in np.split(ids, ends[:-1])] == plain(texts[:9])
+
+
 def frame(spark, texts):
     return spark.createDataFrame([(i, t, "?") for i, t in enumerate(texts)], "doc_id long, text string, start string")
 
