@@ -51,23 +51,31 @@ _CHUNK = 4_000_000
 BITS = tuple(f"b{i}" for i in range(16))
 
 
+def _repeated(h: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(value, times) of the values that h holds more than once; h is sorted in place."""
+    h.sort()
+    edges = np.flatnonzero(np.diff(h[1:] == h[:-1], prepend=False, append=False))
+    return h[edges[::2]], edges[1::2] - edges[::2] + 1
+
+
 def _common_counts(k: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        def counted(parts: list[np.ndarray]) -> pa.RecordBatch:
-            h, n = np.unique(np.concatenate(parts), return_counts=True)
-            more = n > 1
-            return pa.RecordBatch.from_arrays([pa.array(h[more].view(np.int64)), pa.array(n[more].astype(np.int64))], ["h", "n"])
+        def counted(h: np.ndarray) -> pa.RecordBatch:
+            h, n = _repeated(h)
+            return pa.RecordBatch.from_arrays([pa.array(h.view(np.int64)), pa.array(n)], ["h", "n"])
 
-        parts, held = [], 0
+        some, held = np.empty(_CHUNK, np.uint64), 0
         for batch in batches:
             for s in text_shingles(batch.column(0), k):
-                parts.append(s)
+                if held + len(s) > len(some):
+                    some.resize(held + len(s), refcheck=False)
+                some[held : held + len(s)] = s
                 held += len(s)
                 if held > _CHUNK:
-                    yield counted(parts)
-                    parts, held = [], 0
+                    yield counted(some[:held])
+                    held = 0
         if held:
-            yield counted(parts)
+            yield counted(some[:held])
 
     return run
 

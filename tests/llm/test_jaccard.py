@@ -1,8 +1,13 @@
 import random
 import re
+import tracemalloc
 
 import duckdb
+import numpy as np
+import pyarrow as pa
+from inkwright.llm import jaccard
 from inkwright.llm.jaccard import jaccard_components
+from inkwright.llm.words import text_shingles
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 
@@ -77,3 +82,23 @@ def test_op8_against_brute_force(spark):
     rows = duckdb.connect().sql(f"select doc_id, text from '{sf}/documents.parquet'").fetchall()
     got = {r.doc_id: (r.n_shingles, r.component_id) for r in op8_ngram_jaccard_join(spark, sf).collect()}
     assert got == brute(rows, 3, 90, 100)
+
+
+def test_counting_shingles_holds_them_once():
+    """Over three million shingles of one task: their counts, and the bytes that counting takes at most."""
+    rnd = random.Random(4)
+    words = [str(i) for i in range(3000)]
+    texts = pa.array([" ".join(rnd.choices(words, k=2000)) for _ in range(1600)])
+    batches = [pa.RecordBatch.from_arrays([texts[a : a + 100]], ["text"]) for a in range(0, len(texts), 100)]
+    tracemalloc.start()
+    (got,) = jaccard._common_counts(2)(iter(batches))
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 80e6
+    h, n = np.unique(np.concatenate(list(text_shingles(texts, 2))), return_counts=True)
+    assert got.column(0).to_numpy().view(np.uint64).tolist() == h[n > 1].tolist()
+    assert got.column(1).to_numpy().tolist() == n[n > 1].tolist()
+    assert len(n) < n.sum() and n.sum() > 3_000_000
+    for x in ([], [3], [3, 3], [1, 2, 2, 2, 5, 9, 9]):
+        h, n = jaccard._repeated(np.array(x, np.uint64))
+        assert list(zip(h.tolist(), n.tolist(), strict=True)) == [(v, x.count(v)) for v in sorted({*x}) if x.count(v) > 1]
