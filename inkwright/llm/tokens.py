@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from inkwright.llm.store import new_path, small_batches, trimmed
+from inkwright.llm.store import kept, new_path, small_batches, trimmed
 from inkwright.llm.words import _grown, mix, text_runs
 
 #: Different pieces whose ids are kept in a worker, and the longest in bytes; beyond it the cache starts anew.
@@ -222,7 +222,7 @@ class IdEncoder:
                 self._clear()
 
 
-@lru_cache(2)
+@kept
 def encoder(path: str) -> IdEncoder:
     return IdEncoder(path)
 

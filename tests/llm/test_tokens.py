@@ -1,5 +1,7 @@
+import gc
 import random
 import tracemalloc
+import weakref
 import zlib
 from hashlib import sha256
 
@@ -11,7 +13,8 @@ import tiktoken
 from tokenizers import Tokenizer
 
 from inkwright.llm.packing import fullest, min_bin_slack, pack
-from inkwright.llm.tokens import IdEncoder, bpe_decode, bpe_digests, bpe_encode, orc_digests, rank_encoding, safe_pieces
+from inkwright.llm.store import trimmed
+from inkwright.llm.tokens import IdEncoder, bpe_decode, bpe_digests, bpe_encode, encoder, orc_digests, rank_encoding, safe_pieces
 
 JSON, RANKS = P.path("byte_bpe_50k.json"), P.path("byte_bpe_50k.tiktoken")
 ODD = [
@@ -57,6 +60,19 @@ def test_encoder_memory_with_many_different_words():
     assert [x.tolist() for _, ids, ends in encode(pa.array(texts[:9])) for x in np.split(ids, ends[:-1])] == plain(texts[:9])
 
 
+def test_a_worker_keeps_the_encoder_while_its_tasks_use_it():
+    seen = []
+    uses = trimmed(lambda batches: (seen.append(weakref.ref(encoder(JSON))) or b for b in batches))
+    others = trimmed(iter)
+    list(others([0]))
+    list(uses([1]))
+    list(uses([2]))
+    assert seen[0]() is seen[1]() is not None
+    list(others([3]))
+    gc.collect()
+    assert seen[0]() is None
+
+
 def frame(spark, texts):
     return spark.createDataFrame([(i, t, "?") for i, t in enumerate(texts)], "doc_id long, text string, start string")
 
