@@ -157,8 +157,17 @@ def percent(c: Column, as_percent: bool = False) -> Column:
 
 
 def human_bytes(c: Column) -> Column:
-    """A number of bytes with one digit in B to TB, halves to even."""
-    of = lambda power, unit: F.format_string(f"%.1f {unit}", F.bround(c / F.lit(float(1024**power)), 1))
+    """A number of bytes with one digit in B to TB, halves to even.
+
+    Only the fraction is rounded, so that a half is one of the binary value, not of the digits it is shown by.
+    """
+
+    def of(power: int, unit: str) -> Column:
+        v = c.cast("double") / F.lit(float(1024**power))
+        whole = F.floor(v).cast("double")
+        # from 2**52 on a double has no fraction, and further on its floor no long
+        return F.format_string(f"%.1f {unit}", F.when(v < float(1 << 52), whole + F.rint((v - whole) * 10) / 10).otherwise(v))
+
     text = of(4, "TB")
     for power, unit in ((3, "GB"), (2, "MB"), (1, "KB"), (0, "B")):
         text = F.when(c < 1024 ** (power + 1), of(power, unit)).otherwise(text)

@@ -404,7 +404,8 @@ _CUBE = "(o_orderkey * o_orderkey * o_orderkey)"
     f"select o_orderkey, case when {_CUBE} < 1024 then printf('%.1f B', {_CUBE}::double) when {_CUBE} < 1048576 then printf('%.1f KB', {_CUBE} / 1024.0::double) when {_CUBE} < 1073741824 then printf('%.1f MB', {_CUBE} / 1048576.0::double) when {_CUBE} < 1099511627776 then printf('%.1f GB', {_CUBE} / 1073741824.0::double) else printf('%.1f TB', {_CUBE} / 1099511627776.0::double) end as size from orders"
 )
 def human_sizes(spark, sf):
-    n = F.col("o_orderkey")
+    """Cubes of keys as sizes; exact in 38 digits, as a long holds those of keys up to 2,097,151 only."""
+    n = F.col("o_orderkey").cast("decimal(19,0)")
     return table(spark, sf, "orders").select("o_orderkey", T.human_bytes(n * n * n).alias("size"))
 
 

@@ -47,6 +47,23 @@ def test_capped_reads_whole_articles(spark):
     assert corpus.capped(articles, "ord", 2, found, 100).count() == 6
 
 
+def test_human_sizes_beyond_a_long(spark, tmp_path):
+    from fractions import Fraction
+
+    from inkwright import queries as Q
+
+    keys = [0, 10, 11, 100, 1000, 10000, 2097151, 2097152, 6379940, 8999999, 10**9, None]
+    spark.createDataFrame([(k,) for k in keys], "o_orderkey long").write.parquet(f"{tmp_path}/orders.parquet")
+
+    def size(k):
+        if k is None:
+            return None
+        power = next((p for p in range(4) if k**3 < 1024 ** (p + 1)), 4)
+        return f"{float(round(Fraction(k**3, 1024**power) * 10)) / 10:.1f} {['B', 'KB', 'MB', 'GB', 'TB'][power]}"
+
+    assert {r.o_orderkey: r["size"] for r in Q.queries()["human_sizes"](spark, str(tmp_path)).collect()} == {k: size(k) for k in keys}
+
+
 def test_font_coverage(spark):
     cmap = spark.createDataFrame([("f1", "A", ord(c)) for c in "冇有"] + [("f2", "B", ord(c)) for c in "冇"], "font_key string, family string, cp int")
     texts = spark.createDataFrame([("冇有",), ("冇",), ("冇冇",), ("𨋢",)], "text string")
