@@ -53,7 +53,8 @@ def _records(spark: SparkSession, sf: str) -> DataFrame:
 )
 def article_caps(spark, sf):
     """Both caps of a bounded scan, which are its feature: at most 600 articles, and none after the one that reaches 3,000 sentences."""
-    docs = table(spark, sf, "documents")
+    # texts are dealt out after the cut, so table() isn't asked for them
+    docs = corpus.first_articles(spark.read.parquet(f"{sf}/documents.parquet").select("doc_id", "text"), "doc_id", 600).repartition(spark.sparkContext.defaultParallelism)
     pieces = F.transform(T.split_sentences(T.clean_text(F.col("text"), "split"), LATIN), lambda p: T.keep_allowed(F.trim(p), LATIN))
     found = docs.select("doc_id", F.explode(pieces).alias("piece")).where(T.acceptable(F.col("piece"), LATIN))
     return corpus.capped(docs, "doc_id", 600, found, 3000).groupBy("doc_id").agg(F.count("*").alias("n"))

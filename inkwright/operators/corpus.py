@@ -29,6 +29,11 @@ def join_tokens(utterances: DataFrame, tokens: str = "tokens") -> DataFrame:
     return utterances.withColumn("text", F.array_join(F.transform(F.col(tokens), lambda t: t["word"]), ""))
 
 
+def first_articles(articles: DataFrame, ord_: str, max_articles: int) -> DataFrame:
+    """The first articles, whole rows; those of a key that the cut falls on all stay. capped needs sentences of no others."""
+    return articles.join(F.broadcast(articles.select(ord_).orderBy(ord_).limit(max_articles).distinct()), ord_, "left_semi")
+
+
 def capped(articles: DataFrame, ord_: str, max_articles: int, found: DataFrame, sentence_cap: int) -> DataFrame:
     """Sentences (ord, ...) of the first articles, up to and with the article that reaches the cap.
 

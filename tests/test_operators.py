@@ -47,6 +47,13 @@ def test_capped_reads_whole_articles(spark):
     assert corpus.capped(articles, "ord", 2, found, 100).count() == 6
 
 
+def test_first_articles_leave_others_uncut(spark):
+    articles = spark.createDataFrame([(i // 2, "x" if i < 8 else "bad") for i in range(12)], "ord long, text string")
+    fails = F.when(F.col("text") == "bad", F.raise_error(F.lit("read"))).otherwise(F.col("text"))
+    got = corpus.first_articles(articles, "ord", 3).withColumn("text", fails)
+    assert rows(got) == [(0, "x"), (0, "x"), (1, "x"), (1, "x")]
+
+
 def test_human_sizes_beyond_a_long(spark, tmp_path):
     from fractions import Fraction
 
