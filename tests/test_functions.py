@@ -107,3 +107,16 @@ def test_metric_laws(spark, texts):
 
 def test_unwrap_keeps_text_that_is_no_json(spark):
     assert column(spark, ["plain", "[1", json.dumps(["x", ["y"]])], S.unwrap_json) == ["plain", "[1", "x"]
+
+
+def test_a_cut_answer_is_scored_without_a_matrix(spark):
+    import time
+
+    long = "".join(map(chr, random.Random(1).choices(range(97, 123), k=120_000)))
+    pairs = [(long[:90_000], long, 30_000, 90_000), (long, long[50_000:], 50_000, 70_000), ("", "ab", 2, 0), ("ba", "", 2, 0), ("é", "aéb", 2, 1), ("ab", "ba", 2, 2)]
+    df = spark.createDataFrame([(i, *p[:2]) for i, p in enumerate(pairs)], "i int, p string, g string").withColumns(S.metrics(F.col("p"), F.col("g")))
+    start = time.monotonic()
+    got = df.orderBy("i").collect()
+    assert time.monotonic() - start < 15
+    for (p, g, d, both), r in zip(pairs, got, strict=True):
+        assert r.edit_distance == d and r.f1 == pytest.approx(2 * both / (len(p) + len(g)))
