@@ -9,13 +9,24 @@ from pyspark.sql.window import Window
 from inkwright.functions.text import chars, plane
 from inkwright.operators import evals, fonts, qa
 from inkwright.plans import planner
+from inkwright.store import written
+
+#: Texts of each group that meet the fonts at first; Spark cuts groups to as many before the shuffle.
+FIRST = 1000
 
 
 def with_hits(rows: DataFrame, charset: DataFrame, keys: list[str], text: str = "text") -> DataFrame:
-    """rows that hold a character of charset (ch), with canto_chars, their sorted different such characters, and n_canto_chars."""
-    own = rows.select(*keys, F.explode(F.array_distinct(chars(F.col(text)))).alias("ch")).join(charset.select("ch"), "ch")
-    hits = own.groupBy(*keys).agg(F.array_sort(F.collect_set("ch")).alias("h"))
-    return rows.join(hits, keys).withColumns({"canto_chars": F.array_join("h", ""), "n_canto_chars": F.size("h").cast("long")}).drop("h")
+    """rows that hold a character of charset (ch), with canto_chars, their sorted different such characters, and n_canto_chars; null keys go.
+
+    The charset comes as one text, a row that is broadcast: what translating it away takes from a text are the hits, so no text is exploded or shuffled.
+    """
+    all_ = charset.where(F.length("ch") == 1).agg(F.array_join(F.array_sort(F.collect_set("ch")), "").alias("_charset"))
+    for key in keys:
+        rows = rows.where(F.col(key).isNotNull())
+    rest = F.call_function("translate", F.col(text), F.col("_charset"), F.lit(""))
+    hits = F.array_sort(F.array_except(chars(F.col(text)), chars(rest)))
+    rows = rows.crossJoin(F.broadcast(all_)).withColumn("h", hits).where(F.size("h") > 0)
+    return rows.withColumns({"canto_chars": F.array_join("h", ""), "n_canto_chars": F.size("h").cast("long")}).drop("h", "_charset")
 
 
 def fonts_for(texts: DataFrame, cmap: DataFrame, n: int, seed: str) -> DataFrame:
@@ -47,15 +58,37 @@ def char_tier(charset: DataFrame, pairs: DataFrame, cmap: DataFrame, budget: int
     return rows.join(own, "text", "left").withColumn("item", qa.hash_order(seed, "role", "text"))
 
 
+def first_covered(rows: DataFrame, cmap: DataFrame, budget: int, seed: str, by: list[str]) -> tuple[DataFrame, DataFrame, int]:
+    """(rows, picks of their texts, groups): the first rows of each group in order of item and text, so many that their picks fill its equal part of budget, or all.
+
+    Only these meet the fonts. They begin with FIRST and grow fourfold until every group is full or has no more, so nothing is lost where few are covered.
+    """
+    k = FIRST
+    while True:
+        if by:
+            w = Window.partitionBy(*by).orderBy("item", "text")
+            firsts = rows.withColumn("_rn", F.row_number().over(w)).where(F.col("_rn") <= k).drop("_rn")
+        else:
+            firsts = rows.orderBy("item", "text").limit(k)
+        firsts = written(firsts, "firsts")
+        picks = written(fonts_for(firsts, cmap, planner.RENDERS, seed), "picks")
+        size = picks.groupBy("text").agg(F.count("*").alias("renders"))
+        groups = firsts.join(size, "text", "left").groupBy(*by).agg(F.count("*").alias("n"), F.coalesce(F.sum("renders"), F.lit(0)).alias("renders"))
+        groups = groups.agg(F.count("*").alias("groups"), F.count_if(F.col("n") >= k).alias("more"), F.min(F.when(F.col("n") >= k, F.col("renders"))).alias("open")).first()
+        if not groups.more or groups.open >= max(1, budget // groups.groups):
+            return firsts, picks, groups.groups
+        k *= 4
+
+
 def text_tier(rows: DataFrame, cmap: DataFrame, budget: int, seed: str, by_source: bool) -> DataFrame:
     """Texts in hashed order, up to RENDERS fonts each, until the budget is full; with by_source each source fills an equal part."""
     rows = rows.withColumn("item", qa.hash_order(seed, "source", "text"))
-    picks = fonts_for(rows, cmap, planner.RENDERS, seed)
+    rows, picks, sources = first_covered(rows, cmap, budget, seed, ["source"] if by_source else [])
     size = picks.groupBy("text").agg(F.count("*").alias("renders"))
     items = rows.join(size, "text")
     order = [F.col("item"), F.col("text")]
     if by_source:
-        share = budget // max(1, rows.select("source").distinct().count())
+        share = budget // max(1, sources)
         kept = planner.fill_budget(items, "renders", max(1, share), order, ["source"])
     else:
         kept = planner.fill_budget(items, "renders", budget, order)
@@ -73,6 +106,7 @@ def build_plan(charset: DataFrame, words: DataFrame, sentences: DataFrame, pairs
     lost, else the next text takes it. Draws are hashes of seed and row, the same in any partitioning.
     """
     sizes, s = sizes or planner.TIERS, str(seed)
+    charset = written(charset, "charset")  # a row a character; each tier asks for it
     hit = lambda rows: with_hits(rows.select("source", "text").distinct(), charset, ["source", "text"])
     tiers = planner.tiers_in_order(
         char=char_tier(charset, pairs, cmap, sizes["char"], s),

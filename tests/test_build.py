@@ -75,3 +75,26 @@ def test_commands(spark, parts, tmp_path, capsys):
     assert main(check) == 0
     (tmp_path / "l.tsv").write_text("a.jpg\t有\n", encoding="utf-8")
     assert main(check) == 1
+
+
+@pytest.mark.parametrize("covered", [40, 3])
+def test_only_first_texts_meet_the_fonts(spark, monkeypatch, covered):
+    import hashlib
+
+    texts = [f"w{i:02d}" for i in range(40)]
+    texts.sort(key=lambda t: hashlib.sha256(f"1|s|{t}".encode()).hexdigest())
+    good, met = texts[-covered:], []
+    cmap = spark.createDataFrame([("f", "f", 1)], "font_key string, family string, cp int")
+
+    def fonts_for(rows, cmap, n, seed):
+        met.append(rows.count())
+        return rows.where(F.col("text").isin(good)).select("text", F.lit("f").alias("font_key"), F.lit(1).alias("pick")).distinct()
+
+    monkeypatch.setattr(build, "fonts_for", fonts_for)
+    monkeypatch.setattr(build, "FIRST", 4)
+    df = spark.createDataFrame([("s", t) for t in texts], "source string, text string")
+    for by_source in (False, True):
+        met.clear()
+        got = {r.text for r in build.text_tier(df, cmap, 2, "1", by_source).collect()}
+        assert got == set(good[:2])
+        assert met == ([4] if covered == 40 else [4, 16, 40])
