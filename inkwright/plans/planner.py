@@ -74,6 +74,13 @@ def fill_budget(rows: DataFrame, size: str, budget: int, order: list[Column], by
     return rows.withColumn("before", before).where(F.col("before") < budget)
 
 
+def dealt(rows: DataFrame, key: str, each: int = 500_000) -> DataFrame:
+    """rows dealt by key to tasks of about `each` rows, a number that grows with them: adaptive execution joins tasks by their packed
+    bytes, and small rows are few of these. Aggregates and windows of the same key stay in these tasks."""
+    n = max(rows.sparkSession.sparkContext.defaultParallelism, -(-rows.count() // each))
+    return rows.repartition(n, key)
+
+
 def uniform(items: DataFrame, fonts: DataFrame, key: str, family: str, font: str, budget: int, n_items: int, seed: str) -> DataFrame:
     """Each of n_items items in max(1, budget // n_items) fonts of those that cover it, families in turn.
 

@@ -425,7 +425,8 @@ def round_robin(spark, sf):
 def uniform_allocation(spark, sf):
     """All parts in six suppliers each, of those that have delivered it, nations in turn."""
     items = table(spark, sf, "part").select("p_partkey")
-    own = table(spark, sf, "lineitem").select(F.col("l_partkey").alias("p_partkey"), F.col("l_suppkey").alias("s_suppkey")).distinct()
+    lines = table(spark, sf, "lineitem").select(F.col("l_partkey").alias("p_partkey"), F.col("l_suppkey").alias("s_suppkey"))
+    own = planner.dealt(lines, "p_partkey").distinct()
     covering = own.join(table(spark, sf, "supplier").select("s_suppkey", "s_nationkey"), "s_suppkey").select("p_partkey", "s_suppkey", "s_nationkey")
     n = items.count()
     return planner.uniform(items, covering, "p_partkey", "s_nationkey", "s_suppkey", 6 * n, n, "3").select("p_partkey", "s_suppkey", "s_nationkey")

@@ -71,6 +71,12 @@ def test_human_sizes_beyond_a_long(spark, tmp_path):
     assert {r.o_orderkey: r["size"] for r in Q.queries()["human_sizes"](spark, str(tmp_path)).collect()} == {k: size(k) for k in keys}
 
 
+def test_tasks_grow_with_rows(spark):
+    for n in (20_000, 100_000):
+        got = planner.dealt(spark.range(n), "id", 1000).distinct().groupBy(F.spark_partition_id()).count().agg(F.count("*").alias("tasks"), F.max("count").alias("most")).first()
+        assert got.tasks == n // 1000 and got.most < 1500
+
+
 def test_font_coverage(spark):
     cmap = spark.createDataFrame([("f1", "A", ord(c)) for c in "冇有"] + [("f2", "B", ord(c)) for c in "冇"], "font_key string, family string, cp int")
     texts = spark.createDataFrame([("冇有",), ("冇",), ("冇冇",), ("𨋢",)], "text string")
